@@ -56,7 +56,7 @@ def with_codes_matching(apps, patterns=None, default=None, key="application_numb
         raise ValueError("give patterns or a default list of patterns")
     if table is None:
         return apps.filter(any_code_matches(F.col("cpcs"), listed))
-    return apps.join(_matching_keys(apps, table, key), F.col("_key").eqNullSafe(F.col(key)), "left_semi")
+    return apps.join(matching_keys(apps, table, key), F.col("_key").eqNullSafe(F.col(key)), "left_semi")
 
 
 def without_codes_matching(apps, patterns, key="application_number"):
@@ -64,7 +64,7 @@ def without_codes_matching(apps, patterns, key="application_number"):
     listed, table = _pattern_list(patterns)
     if table is None:
         return apps.filter(~any_code_matches(F.col("cpcs"), listed))
-    return apps.join(_matching_keys(apps, table, key), F.col("_key").eqNullSafe(F.col(key)), "left_anti")
+    return apps.join(matching_keys(apps, table, key), F.col("_key").eqNullSafe(F.col(key)), "left_anti")
 
 
 def _pattern_list(patterns):
@@ -77,7 +77,7 @@ def _pattern_list(patterns):
     return (head, None) if len(head) <= INLINE_PATTERNS else (None, table)
 
 
-def _matching_keys(apps, patterns, key):
+def matching_keys(apps, patterns, key):
     """Keys of the applications that match a pattern table.
 
     Equal codes collapse before anything is compared, so a code that a third of all
