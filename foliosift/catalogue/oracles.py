@@ -273,9 +273,9 @@ ORACLES = {
         select page // 10 as bucket, count(*) as n_rows, count(distinct page) as n_pages
         from numbered group by page // 10""",
     "bucketed_output": f"""{_NUMBERED}
-        select page // 10 as bucket, count(*) as n_rows,
+        select page // 100 as bucket, count(*) as n_rows,
                min(application_number) as first_number, max(application_number) as last_number
-        from paged group by page // 10""",
+        from paged group by page // 100""",
     "payload_split": f"{_PIECES} select page_id, piece, part from restored",
     "payload_marker": (
         f"{_PIECES} select page_id, piece from restored where contains(left(part, 100), 'the')"

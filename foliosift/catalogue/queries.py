@@ -14,6 +14,7 @@ from foliosift.functions.nodes import (
     heading_text,
     last_heading_id,
 )
+from foliosift.functions.text import stripped
 from foliosift.functions.payload import decoded, starts_document
 from foliosift.operators.documents import (
     document_nodes,
@@ -31,7 +32,7 @@ from foliosift.operators.paging import (
 )
 from foliosift.operators.reduce import attached, before_stop, best_texts, longest_texts
 from foliosift.operators.references import listed_documents, xml_references
-from foliosift.operators.sections import with_abstract, with_spec_sections
+from foliosift.operators.sections import indexed, with_abstract, with_spec_sections
 from foliosift.operators.select import (
     filed_between,
     matching_keys,
@@ -214,7 +215,7 @@ def bucketed_output(spark, folder):
     """Pages written to one folder for each bucket and read back."""
     path = scratch_path(spark, "buckets")
     apps = views.apps(spark, folder).select("application_number", "filing_date", "status_code")
-    rows = with_pages(numbered(apps, [F.asc("application_number")]), size=50, pages_per_bucket=10)
+    rows = with_pages(numbered(apps, [F.asc("application_number")]), size=50, pages_per_bucket=100)
     append_buckets(rows, path)
     stored = spark.read.parquet(path)
     return stored.groupBy(F.col("bucket").cast("bigint").alias("bucket")).agg(
@@ -269,14 +270,20 @@ def id_numbers(spark, folder):
     )
 
 
+def _indexed_lines(spark, folder):
+    return indexed(views.line_nodes(spark, folder))
+
+
 def first_heading(spark, folder):
-    nodes = views.line_nodes(spark, folder)
-    return nodes.select("doc_id", first_heading_id(F.col("nodes"), SUMMARY_WORD).alias("first_id"))
+    found = _indexed_lines(spark, folder)
+    return found.select(
+        "doc_id", first_heading_id(F.col("headings"), SUMMARY_WORD).alias("first_id")
+    )
 
 
 def last_heading(spark, folder):
-    nodes, column = views.line_nodes(spark, folder), F.col("nodes")
-    return nodes.select(
+    column = F.col("headings")
+    return _indexed_lines(spark, folder).select(
         "doc_id",
         last_heading_id(column, SUMMARY_WORD).alias("summary_id"),
         last_heading_id(column, BACKGROUND_WORD, SUMMARY_WORD).alias("background_id"),
@@ -284,13 +291,13 @@ def last_heading(spark, folder):
 
 
 def abstract_text(spark, folder):
-    found = with_abstract(views.line_nodes(spark, folder), word=SUMMARY_WORD)
+    found = with_abstract(_indexed_lines(spark, folder), word=SUMMARY_WORD)
     return found.select("doc_id", "abstract")
 
 
 def section_text(spark, folder):
     found = with_spec_sections(
-        views.line_nodes(spark, folder),
+        _indexed_lines(spark, folder),
         summary_word=SUMMARY_WORD,
         background_word=BACKGROUND_WORD,
     )
@@ -339,7 +346,7 @@ def early_stop_two_texts(spark, folder):
 
 def _line_pieces(spark, folder):
     found = with_spec_sections(
-        with_abstract(views.line_nodes(spark, folder), word=SUMMARY_WORD),
+        with_abstract(_indexed_lines(spark, folder), word=SUMMARY_WORD),
         summary_word=SUMMARY_WORD,
         background_word=BACKGROUND_WORD,
     )
@@ -389,10 +396,7 @@ def incremental_available_now(spark, folder):
 
 
 def _xml_documents(spark, folder):
-    payloads = views.xml_payloads(spark, folder)
-    path = scratch_path(spark, "payloads")
-    payloads.write.parquet(path)
-    return payload_documents(read_payload_table(spark, path))
+    return payload_documents(views.xml_payloads(spark, folder))
 
 
 def xml_nodes(spark, folder):
@@ -403,13 +407,16 @@ def xml_nodes(spark, folder):
         "tag",
         "node_id",
         "text",
-        direct_text(node, " ").alias("direct_text"),
+        stripped(direct_text(node, " ")).alias("direct_text"),
         heading_text(node).alias("heading_text"),
     )
 
 
 def xml_document_code(spark, folder):
-    documents = document_nodes(_xml_documents(spark, folder))
+    """Document codes of payloads that were landed as a table and read back."""
+    path = scratch_path(spark, "payloads")
+    views.xml_payloads(spark, folder).write.parquet(path)
+    documents = document_nodes(payload_documents(read_payload_table(spark, path)))
     return documents.select(
         F.col("url").cast("bigint").alias("doc_id"), document_code(F.col("nodes")).alias("code")
     )

@@ -7,7 +7,7 @@ that would have to be grouped again.
 
 from pyspark.sql import functions as F
 
-from foliosift.functions.ids import has_id
+from foliosift.functions.ids import has_id, id_number
 from foliosift.functions.text import stripped
 
 HEADING = "Heading"
@@ -22,40 +22,65 @@ def heading_text(node):
 def direct_text(node, separator):
     """Own text and the text after each child, without what the children hold."""
     parts = F.concat(F.array(node["text"]), node["tails"])
-    return stripped(F.array_join(parts, separator))
+    # Most elements have no tails, and then nothing needs joining.
+    own = F.coalesce(node["text"], F.lit(""))
+    return F.when(F.size(node["tails"]) > 0, F.array_join(parts, separator)).otherwise(own)
+
+
+def headings(nodes):
+    """Headings in document order as (node_id, words), words in upper case."""
+    return F.transform(
+        F.filter(nodes, lambda node: node["tag"] == HEADING),
+        lambda node: F.struct(
+            node["node_id"].alias("node_id"), heading_text(node).alias("words")
+        ),
+    )
 
 
-def _headings_with(nodes, word, without):
-    def wanted(node):
-        text = heading_text(node)
-        test = (node["tag"] == HEADING) & F.contains(text, F.lit(word))
-        return test & ~F.contains(text, F.lit(without)) if without else test
+def children(nodes):
+    """Direct children of the document element that carry an id, with its number.
 
-    return F.filter(nodes, wanted)
+    Only a broken id leaves a child without a number.
+    """
+    return F.transform(
+        F.filter(nodes, lambda node: node["root_child"] & has_id(node["node_id"])),
+        lambda node: F.struct(
+            node["pos"].alias("pos"),
+            id_number(node["node_id"]).alias("num"),
+            node["text"].alias("text"),
+            node["tails"].alias("tails"),
+        ),
+    )
 
 
-def first_heading_id(nodes, word, without=None):
-    """Id of the first heading holding ``word``; null also where that heading has none."""
-    return F.try_element_at(_headings_with(nodes, word, without), F.lit(1))["node_id"]
+def _headings_with(found, word, without):
+    def wanted(heading):
+        test = F.contains(heading["words"], F.lit(word))
+        return test & ~F.contains(heading["words"], F.lit(without)) if without else test
 
+    return F.filter(found, wanted)
 
-def last_heading_id(nodes, word, without=None):
-    """Id of the last heading holding ``word``; null also where that heading has none."""
-    return F.try_element_at(_headings_with(nodes, word, without), F.lit(-1))["node_id"]
+
+def first_heading_id(found, word, without=None):
+    """Id of the first heading holding ``word``; null also where that heading has none."""
+    return F.try_element_at(_headings_with(found, word, without), F.lit(1))["node_id"]
 
 
-def numbered_children(nodes):
-    """Direct children of the document element that carry an id."""
-    return F.filter(nodes, lambda node: node["root_child"] & has_id(node["node_id"]))
+def last_heading_id(found, word, without=None):
+    """Id of the last heading holding ``word``; null also where that heading has none."""
+    return F.try_element_at(_headings_with(found, word, without), F.lit(-1))["node_id"]
 
 
 def first_long_paragraph(nodes, longer_than):
-    """Text of the first paragraph, at any depth, with more characters than given."""
+    """Stripped text of the first paragraph, at any depth, that is long enough."""
     paragraphs = F.filter(nodes, lambda node: node["tag"] == PARAGRAPH)
     texts = F.transform(paragraphs, lambda node: direct_text(node, ""))
-    return F.try_element_at(
-        F.filter(texts, lambda text: F.length(text) > longer_than), F.lit(1)
-    )
+    return F.try_element_at(F.filter(texts, longer_when_stripped(longer_than)), F.lit(1))
+
+
+def longer_when_stripped(longer_than):
+    # Stripping only shortens, so the plain length settles most texts.
+    return lambda text: (F.length(text) > longer_than) & (F.length(stripped(text)) > longer_than)
 
 
 def document_code(nodes):

@@ -3,18 +3,28 @@
 from pyspark.sql import functions as F
 
 from foliosift import fixed_values as V
-from foliosift.functions.ids import has_id, id_is_broken, id_number
+from foliosift.functions.ids import id_is_broken, id_number
 from foliosift.functions.nodes import (
+    children,
     direct_text,
     first_heading_id,
     first_long_paragraph,
+    headings,
     last_heading_id,
-    numbered_children,
+    longer_when_stripped,
 )
+from foliosift.functions.text import stripped
 
 BROKEN_ID = "id without a number after the dash"
 
 
+def indexed(documents, nodes="nodes"):
+    """Add ``headings`` and ``children``, which the section rules below look at."""
+    return documents.withColumns(
+        {"headings": headings(F.col(nodes)), "children": children(F.col(nodes))}
+    )
+
+
 def with_abstract(
     documents,
     nodes="nodes",
@@ -22,46 +32,36 @@ def with_abstract(
     longer_than=V.ABSTRACT_LENGTH,
     fallback_longer_than=V.FALLBACK_LENGTH,
 ):
-    """Add ``abstract`` and ``abstract_error``.
+    """Add ``abstract`` and ``abstract_error`` to indexed documents.
 
     The abstract is the first numbered child behind the first heading with ``word``
     whose stripped text is longer than ``longer_than``; without one, the first
     paragraph longer than ``fallback_longer_than``. A broken id met before that child
     leaves the document without an abstract.
     """
-    heading = F.col("_heading")
-    candidates = F.filter(
-        numbered_children(F.col(nodes)),
-        lambda node: id_is_broken(node["node_id"])
-        | (
-            (id_number(node["node_id"]) > id_number(heading))
-            & (F.length(direct_text(node, " ")) > longer_than)
-        ),
+    heading_id, number, hit = F.col("_heading_id"), F.col("_number"), F.col("_hit")
+    behind = F.filter(
+        "children", lambda child: child["num"].isNull() | (child["num"] > number)
     )
-    broken = F.coalesce(
-        id_is_broken(heading) | id_is_broken(F.col("_hit.node_id")), F.lit(False)
+    texts = F.transform(
+        behind,
+        lambda child: F.struct(
+            child["num"].isNull().alias("broken"),
+            F.when(child["num"].isNotNull(), direct_text(child, " ")).alias("text"),
+        ),
     )
+    long_enough = longer_when_stripped(longer_than)
+    hits = F.filter(texts, lambda child: child["broken"] | long_enough(child["text"]))
+    broken = id_is_broken(heading_id) | F.coalesce(hit["broken"], F.lit(False))
+    fallback = first_long_paragraph(F.col(nodes), fallback_longer_than)
     return (
-        documents.withColumn("_heading", first_heading_id(F.col(nodes), word))
-        .withColumn(
-            "_hit",
-            F.when(
-                has_id(heading) & ~id_is_broken(heading),
-                F.try_element_at(candidates, F.lit(1)),
-            ),
-        )
+        documents.withColumn("_heading_id", first_heading_id(F.col("headings"), word))
+        .withColumn("_number", id_number(heading_id))
+        .withColumn("_hit", F.when(number.isNotNull(), F.try_element_at(hits, F.lit(1))))
         .withColumn("abstract_error", F.when(broken, F.lit(BROKEN_ID)))
-        .withColumn(
-            "abstract",
-            F.when(
-                F.col("abstract_error").isNull(),
-                F.coalesce(
-                    direct_text(F.col("_hit"), " "),
-                    first_long_paragraph(F.col(nodes), fallback_longer_than),
-                ),
-            ),
-        )
-        .drop("_heading", "_hit")
+        .withColumn("abstract", F.when(~broken, F.coalesce(hit["text"], fallback)))
+        .withColumn("abstract", stripped(F.col("abstract")))
+        .drop("_heading_id", "_number", "_hit")
     )
 
 
@@ -97,13 +97,12 @@ def _joined(candidates, end):
 
 def with_spec_sections(
     documents,
-    nodes="nodes",
     summary_word="SUMMARY",
     background_word="BACKGROUND",
     shorter_than=V.HEADING_LENGTH,
     at_most=V.PARAGRAPHS_PER_SECTION,
 ):
-    """Add ``summary``, ``background`` and ``spec_error``.
+    """Add ``summary``, ``background`` and ``spec_error`` to indexed documents.
 
     A section holds the numbered children behind its heading until a short one or one
     beyond ``at_most`` ends it. The second section may start only behind the end of
@@ -112,25 +111,15 @@ def with_spec_sections(
     """
     s, b, c1, c2 = F.col("_s"), F.col("_b"), F.col("_c1"), F.col("_c2")
     summary_leads, background_leads = F.col("_summary_leads"), F.col("_background_leads")
-    children = F.transform(
-        numbered_children(F.col(nodes)),
-        lambda node: F.struct(
-            node["pos"].alias("pos"),
-            id_number(node["node_id"]).alias("num"),
-            node["text"].alias("text"),
-        ),
-    )
-    # Only a broken id leaves a numbered child without a number.
     broken = (
         id_is_broken(F.col("_s_id"))
         | id_is_broken(F.col("_b_id"))
-        | F.exists("_children", lambda child: child["num"].isNull())
+        | F.exists("children", lambda child: child["num"].isNull())
     )
     steps = [
         {
-            "_s_id": last_heading_id(F.col(nodes), summary_word),
-            "_b_id": last_heading_id(F.col(nodes), background_word, summary_word),
-            "_children": children,
+            "_s_id": last_heading_id(F.col("headings"), summary_word),
+            "_b_id": last_heading_id(F.col("headings"), background_word, summary_word),
         },
         {
             "_broken": broken,
@@ -143,14 +132,14 @@ def with_spec_sections(
             "_n1": F.when(summary_leads, s).otherwise(b),
             "_n2": F.when(summary_leads, b).when(background_leads, s),
         },
-        {"_c1": _candidates(F.col("_children"), F.col("_n1"), at_most)},
+        {"_c1": _candidates(F.col("children"), F.col("_n1"), at_most)},
         {"_short1": _first_short(c1, shorter_than)},
         {"_end1": _end(c1, F.col("_short1"), at_most)},
         {
             "_t1": _joined(c1, F.col("_end1")),
             "_end_pos": F.try_element_at(c1, F.col("_end1"))["pos"],
         },
-        {"_c2": _candidates(F.col("_children"), F.col("_n2"), at_most, F.col("_end_pos"))},
+        {"_c2": _candidates(F.col("children"), F.col("_n2"), at_most, F.col("_end_pos"))},
         {"_short2": _first_short(c2, shorter_than)},
         {"_end2": _end(c2, F.col("_short2"), at_most)},
         {"_t2": _joined(c2, F.col("_end2"))},

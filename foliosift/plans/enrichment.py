@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from foliosift.operators.documents import document_nodes, payload_documents
 from foliosift.operators.reduce import attached, before_stop, best_texts, longest_texts
 from foliosift.operators.references import listed_documents, xml_references
-from foliosift.operators.sections import with_abstract, with_spec_sections
+from foliosift.operators.sections import indexed, with_abstract, with_spec_sections
 from foliosift.session import written
 
 TEXTS = ["abstract", "background", "summary"]
@@ -14,7 +14,7 @@ ERRORS = ["xml_error", "abstract_error", "spec_error"]
 
 def piece_texts(documents):
     """Texts of each XML document (url, piece, xml) and what went wrong with it."""
-    found = with_spec_sections(with_abstract(document_nodes(documents)))
+    found = with_spec_sections(with_abstract(indexed(document_nodes(documents))))
     lengths = (F.length(text).alias(f"len_{text}") for text in TEXTS)
     return found.select("url", "piece", *TEXTS, *lengths, *ERRORS)
 
