@@ -1,0 +1,89 @@
+import pytest
+
+from foliosift.plans.enrichment import enriched, quarantined
+from foliosift.schemas import DOCUMENT_LISTING, PAYLOADS
+from foliosift.streaming.incremental import arriving, process_available, processed
+from test_reduce import bag, option
+from xml_text import document, heading, paragraph, words
+
+A1, A2, A3 = words(120, "abs one"), words(310, "abs two"), words(900, "abs three")
+B1, S1, S2 = words(80, "back"), words(90, "sum"), words(300, "sum two")
+
+
+def abstract(text):
+    return document(heading("h-1", "ABSTRACT"), paragraph("p-2", text))
+
+
+def spec(background, summary):
+    return document(
+        heading("h-1", "BACKGROUND"), paragraph("p-2", background),
+        heading("h-3", "SUMMARY"), paragraph("p-4", summary),
+    )
+
+
+APPS = [("full", "t1"), ("full", "copy"), ("pdf only", "t2"), ("not listed", "t3"), ("bad xml", "t4"), ("gone", "t5")]
+LISTINGS = [
+    ("full", [bag("SPEC", option("s1"), option("s2")), bag("ABST", option("a1"), option("a2"), option("a3"))]),
+    ("pdf only", [bag("SPEC", option("p", "PDF"))]),
+    ("bad xml", [bag("SPEC", option("bad"))]),
+    ("gone", [bag("ABST", option("missing"))]),
+    ("another", [bag("ABST", option("other"))]),
+]
+CONTENT = {
+    "s1": spec(B1, S1) + spec("x", S2),
+    "s2": spec(B1, words(200, "sum three")),
+    "a1": abstract(A1),
+    "a2": abstract(A2),
+    "a3": abstract(A3),
+    "bad": document("<broken>"),
+    "other": abstract(A1),
+}
+EXPECTED = [
+    ("bad xml", "t4", "", "", ""),
+    ("full", "copy", A2, S2, B1),
+    ("full", "t1", A2, S2, B1),
+    ("gone", "t5", "", "", ""),
+    ("not listed", "t3", None, None, None),
+    ("pdf only", "t2", None, None, None),
+]
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    payloads = [(url, text.encode()) for url, text in CONTENT.items()]
+    return (
+        spark.createDataFrame(APPS, "application_number string, title string"),
+        spark.createDataFrame(LISTINGS, DOCUMENT_LISTING),
+        spark.createDataFrame(payloads, PAYLOADS),
+    )
+
+
+def found(rows):
+    return sorted((tuple(row) for row in rows.collect()), key=lambda row: row[:2])
+
+
+@pytest.mark.parametrize("everything", [True, False])
+def test_from_listings_to_texts(tables, everything):
+    rows, pieces = enriched(*tables, everything=everything)
+    assert rows.columns == ["application_number", "title", "abstract", "summary", "background"]
+    assert found(rows) == EXPECTED
+    read = {row.url for row in pieces.select("url").collect()}
+    assert ("other" in read) == everything
+    assert [row.url for row in quarantined(pieces).collect()] == ["bad"]
+
+
+def test_enriching_arrivals(spark, tables, tmp_path):
+    landing, out, position = (str(tmp_path / name) for name in ("landing", "out", "position"))
+    apps, listings, payloads = tables
+    half = apps.filter("title in ('t1', 't2', 't3')")
+
+    def run():
+        stream = arriving(spark, landing, apps.schema)
+        transform = lambda batch: enriched(batch, listings, payloads, everything=False)[0]
+        process_available(stream, transform, out, position)
+        return found(processed(spark, out))
+
+    half.write.parquet(landing)
+    assert len(run()) == 3
+    apps.subtract(half).write.mode("append").parquet(landing)
+    assert run() == EXPECTED
