@@ -42,7 +42,7 @@ from foliosift.operators.select import (
     without_statuses,
     without_title_terms,
 )
-from foliosift.plans.enrichment import application_texts, piece_texts
+from foliosift.plans.enrichment import application_texts, file_texts, piece_texts
 from foliosift.plans.selection import searched, selected
 from foliosift.session import scratch_path, written
 from foliosift.sources.applications import (
@@ -350,13 +350,8 @@ def _line_pieces(spark, folder):
         summary_word=SUMMARY_WORD,
         background_word=BACKGROUND_WORD,
     )
-    texts = ["abstract", "background", "summary"]
-    return found.select(
-        F.col("doc_id").cast("string").alias("url"),
-        F.lit(0).alias("piece"),
-        *texts,
-        *(F.length(text).alias(f"len_{text}") for text in texts),
-    )
+    url, piece = F.col("doc_id").cast("string").alias("url"), F.lit(0).alias("piece")
+    return found.select(url, piece, "abstract", "background", "summary")
 
 
 def enrich_left(spark, folder):
@@ -371,8 +366,8 @@ def enrich_left(spark, folder):
     apps = views.table(spark, folder, "documents").select(
         F.col("doc_id").cast("string").alias("application_number"), "lang"
     )
-    pieces = written(_line_pieces(spark, folder), "texts")
-    return attached(apps, application_texts(references, pieces))
+    files = written(file_texts(_line_pieces(spark, folder)), "files")
+    return attached(apps, application_texts(references, files))
 
 
 def pending_applications(spark, folder):
@@ -435,8 +430,8 @@ def xml_sections(spark, folder):
 
 def best_documents(spark, folder):
     """Best texts of each source over all its documents, from payload bytes on."""
-    pieces = written(piece_texts(_xml_documents(spark, folder)), "texts")
-    texts = application_texts(views.document_references(spark, folder), pieces)
+    files = written(file_texts(piece_texts(_xml_documents(spark, folder))), "files")
+    texts = application_texts(views.document_references(spark, folder), files)
     apps = views.table(spark, folder, "documents").select(
         F.col("source").alias("application_number"), "lang"
     )

@@ -89,7 +89,8 @@ def best_texts(kept, key="application_number", seq="seq", doc_type="doc_type"):
 def attached(apps, texts, key="application_number"):
     """Each application with its texts; null texts where it has no row in ``texts``.
 
-    Keeps every input row. AQE splits the copies of a key that many rows share.
+    Keeps every input row. With ``texts`` a stored table, AQE splits the copies of a key
+    that many rows share.
     """
     names = [name for name in ("abstract", "summary", "background") if name in texts.columns]
     return apps.join(texts.select(key, *names), key, "left").select(*apps.columns, *names)

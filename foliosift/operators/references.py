@@ -39,9 +39,12 @@ def listed_documents(listings, types=V.DOCUMENT_TYPES):
 
 
 def xml_references(documents, mime="XML"):
-    """Distinct URLs of an application: first position, type of the last position."""
+    """Distinct URLs of an application: first position, type of the last position.
+
+    Documents of no application are left out; they belong to no row of the result.
+    """
     return (
-        documents.filter(F.col("mime") == mime)
+        documents.filter((F.col("mime") == mime) & F.col("application_number").isNotNull())
         .groupBy("application_number", "url")
         .agg(
             F.min("seq").alias("seq"),

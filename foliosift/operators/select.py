@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from foliosift import fixed_values as V
 from foliosift.functions.codes import any_code_matches, any_code_under, without_spaces
 from foliosift.functions.text import holds_any_term
+from foliosift.session import written
 
 # Longest pattern table that is turned into a predicate. Beyond it patterns stay a table
 # and are joined.
@@ -56,7 +57,7 @@ def with_codes_matching(apps, patterns=None, default=None, key="application_numb
         raise ValueError("give patterns or a default list of patterns")
     if table is None:
         return apps.filter(any_code_matches(F.col("cpcs"), listed))
-    return apps.join(matching_keys(apps, table, key), F.col("_key").eqNullSafe(F.col(key)), "left_semi")
+    return _by_key(apps, table, key, "left_semi")
 
 
 def without_codes_matching(apps, patterns, key="application_number"):
@@ -64,14 +65,19 @@ def without_codes_matching(apps, patterns, key="application_number"):
     listed, table = _pattern_list(patterns)
     if table is None:
         return apps.filter(~any_code_matches(F.col("cpcs"), listed))
-    return apps.join(matching_keys(apps, table, key), F.col("_key").eqNullSafe(F.col(key)), "left_anti")
+    return _by_key(apps, table, key, "left_anti")
+
+
+def _by_key(apps, table, key, how):
+    return apps.join(matching_keys(apps, table, key), F.col("_key").eqNullSafe(F.col(key)), how)
 
 
 def _pattern_list(patterns):
     """Patterns as a list, or as a table where they are too many for a predicate."""
     if patterns is None or isinstance(patterns, (list, tuple)):
         return list(patterns or []), None
-    table = patterns.select(F.replace(F.col(patterns.columns[0]), F.lit(" "), F.lit("")).alias("pattern"))
+    text = F.replace(F.col(patterns.columns[0]), F.lit(" "), F.lit(""))
+    table = patterns.select(text.alias("pattern"))
     table = table.filter("pattern <> ''")
     head = [row.pattern for row in table.limit(INLINE_PATTERNS + 1).collect()]
     return (head, None) if len(head) <= INLINE_PATTERNS else (None, table)
@@ -82,7 +88,9 @@ def matching_keys(apps, patterns, key):
 
     Equal codes collapse before anything is compared, so a code that a third of all
     applications carry is looked up once. Prefixes are compared by equality on cut
-    codes, one row for each prefix length in use.
+    codes, one row for each prefix length in use. Matched codes and keys are written to
+    the shared folder, so Spark knows their size when it plans the joins with them, and
+    AQE can split a hot code or key where they are too large to broadcast.
     """
     is_prefix = F.endswith(F.col("pattern"), F.lit("*"))
     wanted = patterns.select(
@@ -112,4 +120,5 @@ def matching_keys(apps, patterns, key):
         .select("_code")
         .distinct()
     )
-    return exploded.join(hits, "_code", "left_semi").select("_key").distinct()
+    matched = exploded.join(written(hits, "codes"), "_code", "left_semi")
+    return written(matched.select("_key").distinct(), "keys")

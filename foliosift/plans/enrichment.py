@@ -29,32 +29,40 @@ def quarantined(pieces):
     return rows.filter("reason is not null")
 
 
-def application_texts(references, pieces):
+def file_texts(pieces):
+    """Longest texts of each URL over its documents, with their lengths."""
+    longest = longest_texts(pieces, ["url"], TEXTS, F.col("piece"))
+    return longest.withColumns({f"len_{text}": F.length(text) for text in TEXTS})
+
+
+def application_texts(references, files):
     """Best texts of each application that has an XML reference.
 
-    ``pieces`` should be a stored table: the stop rule reads only its lengths, and text
-    is moved only for references that survive it.
+    The stop rule reads only the lengths in ``files``; text moves only for references
+    that survive it. ``files`` should be a stored table: it is read twice, and a plain
+    table lets AQE split the references to a URL that very many applications share.
     """
-    lengths = pieces.groupBy("url").agg(
-        *(F.max(f"len_{text}").alias(f"len_{text}") for text in TEXTS)
-    )
+    lengths = files.select("url", *(f"len_{text}" for text in TEXTS))
     kept = before_stop(references.join(lengths, "url", "left"), spread_by=["url"])
-    texts = longest_texts(pieces, ["url"], TEXTS, F.col("piece"))
+    texts = files.select("url", *TEXTS)
     return best_texts(kept.select(*references.columns).join(texts, "url", "left"))
 
 
 def enriched(apps, listings, payloads, everything=True):
     """``apps`` with their texts, and the stored table of document texts behind them.
 
-    Payloads are parsed once and their texts written to the shared folder. With
-    ``everything`` false, only what ``apps`` refers to is read: right for a small set of
-    new applications over a large store of payloads.
+    Payloads are parsed once. What later steps read more than once, or join, is written
+    to the shared folder first: its size is then known when joins are planned, and a
+    lost executor repeats no parsing. With ``everything`` false only what ``apps``
+    refers to is read: right for a few new applications over a large store of payloads.
     """
     references = xml_references(listed_documents(listings))
     if not everything:
-        references = references.join(
-            apps.select("application_number"), "application_number", "left_semi"
-        )
+        wanted = apps.select("application_number")
+        references = references.join(wanted, "application_number", "left_semi")
+    references = written(references, "references")
+    if not everything:
         payloads = payloads.join(references.select("url"), "url", "left_semi")
-    pieces = written(piece_texts(payload_documents(payloads)), "texts")
-    return attached(apps, application_texts(references, pieces)), pieces
+    pieces = written(piece_texts(payload_documents(payloads)), "pieces")
+    files = written(file_texts(pieces), "files")
+    return attached(apps, written(application_texts(references, files), "texts")), pieces

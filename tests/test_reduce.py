@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from foliosift.operators.reduce import TEXTS_OF_TYPE, attached, before_stop, best_texts, longest_texts
 from foliosift.operators.references import listed_documents, xml_references
-from foliosift.plans.enrichment import application_texts
+from foliosift.plans.enrichment import application_texts, file_texts
 from foliosift.schemas import DOCUMENT_LISTING
 from xml_text import words
 
@@ -158,11 +158,10 @@ def test_shared_url_and_missing_payload(spark):
     )
     lonely = shared.limit(1).select(F.lit("lonely").alias("application_number"), F.lit("gone").alias("url"), "seq", "doc_type")
     pieces = spark.createDataFrame(
-        [("shared", 0, "one", None, None, 3, None, None), ("shared", 1, "longer", None, None, 6, None, None)],
-        "url string, piece int, abstract string, background string, summary string, "
-        "len_abstract int, len_background int, len_summary int",
+        [("shared", 0, "one", None, None), ("shared", 1, "longer", None, None), ("shared", 2, "equals", None, None)],
+        "url string, piece int, abstract string, background string, summary string",
     )
-    rows = application_texts(shared.union(lonely), pieces)
+    rows = application_texts(shared.union(lonely), file_texts(pieces))
     counts = rows.groupBy("abstract").count().collect()
     assert {row.abstract: row["count"] for row in counts} == {"longer": 5000, "": 1}
 

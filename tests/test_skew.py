@@ -1,0 +1,87 @@
+"""Plans and results where one key holds most rows."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from foliosift.operators import select as S
+from foliosift.operators.reduce import attached
+from foliosift.plans.enrichment import application_texts
+from foliosift.session import written
+
+
+@pytest.fixture
+def eager_splitting(spark):
+    """AQE settings under which small test data counts as skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+N = 30_000
+
+
+def hot_rows(spark, hot, cold, name):
+    """A third of the rows share one value; they come from several files."""
+    value = F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.concat(F.lit(cold), F.col("id")))
+    rows = spark.range(0, N, 1, 8).select(value.alias(name), F.sha2(F.col("id").cast("string"), 512).alias("pad"))
+    return written(rows, "hot")
+
+
+def test_shared_application_number(spark, eager_splitting):
+    apps = hot_rows(spark, "hot", "n", "application_number")
+    texts = apps.groupBy("application_number").agg(*(F.first("pad").alias(t) for t in ("abstract", "summary", "background")))
+    rows = attached(apps, written(texts, "texts"))
+    assert "skew=true" in final_plan(rows)
+    assert rows.count() == N and rows.filter("abstract is null").count() == 0
+
+
+def test_shared_url(spark, eager_splitting):
+    urls = hot_rows(spark, "hot", "u", "url")
+    references = written(
+        urls.select(
+            F.sha2(F.concat("url", "pad"), 256).alias("application_number"), "url",
+            F.lit(0).cast("bigint").alias("seq"), F.lit("ABST").alias("doc_type"),
+        ),
+        "references",
+    )
+    text = F.concat(F.lit("text of "), F.col("url"))
+    files = written(
+        urls.select("url").distinct().select(
+            "url", text.alias("abstract"), F.lit(None).cast("string").alias("background"),
+            F.lit(None).cast("string").alias("summary"), F.length(text).alias("len_abstract"),
+            F.lit(None).cast("int").alias("len_background"), F.lit(None).cast("int").alias("len_summary"),
+        ),
+        "files",
+    )
+    rows = application_texts(references, files)
+    assert "skew=true" in final_plan(rows)
+    assert rows.count() == N
+    assert rows.filter("abstract = 'text of hot'").count() == N // 3
+
+
+def test_code_of_a_third_of_all_applications(spark, eager_splitting, monkeypatch):
+    monkeypatch.setattr(S, "INLINE_PATTERNS", 1)
+    rows = hot_rows(spark, "G06N3/08", "H", "code")
+    apps = written(
+        rows.select("pad", F.array("code").alias("cpcs"), F.sha2("pad", 256).alias("application_number")), "apps"
+    )
+    patterns = spark.createDataFrame([("G06N3/08",), ("G06N20/*",)], "pattern string")
+    assert S.with_codes_matching(apps, patterns).count() == N // 3
+    assert S.without_codes_matching(apps, patterns).count() == N - N // 3
