@@ -241,32 +241,27 @@ def payload_marker(spark, folder):
 
 
 def decode_bytes(spark, folder):
-    documents = views.table(spark, folder, "documents").select("doc_id", "text")
-    both = documents.select(
+    return views.documents(spark, folder, "text").select(
         "doc_id",
         decoded(F.encode("text", "UTF-8")).alias("from_utf8"),
         decoded(F.encode("text", "ISO-8859-1")).alias("from_latin1"),
     )
-    return both
 
 
 def id_numbers(spark, folder):
-    line = F.col("text")
-    node_id = (
-        F.when(F.length(line) == 0, F.lit(""))
-        .when(F.contains(line, F.lit("?")), F.concat(F.lit("p-x"), F.col("pos")))
-        .when(F.contains(line, F.lit(",")), F.concat(F.lit("p"), F.col("pos")))
-        .when(F.length(line) < 50, F.concat(F.lit("h-"), F.col("pos"), F.lit("-1")))
-        .otherwise(F.concat(F.lit("p-"), F.col("pos")))
-    )
-    nodes = node_rows(views.line_nodes(spark, folder)).select("doc_id", "pos", node_id.alias("id"))
-    return nodes.select(
+    node_id = """case when length(text) = 0 then ''
+                      when contains(text, '?') then concat('p-x', pos)
+                      when contains(text, ',') then concat('p', pos)
+                      when length(text) < 50 then concat('h-', pos, '-1')
+                      else concat('p-', pos) end as id"""
+    nodes = node_rows(views.line_nodes(spark, folder)).selectExpr("doc_id", "pos", node_id)
+    return nodes.selectExpr(
         "doc_id",
         "pos",
-        has_id(F.col("id")).cast("int").alias("has_id"),
-        id_number(F.col("id")).cast("string").alias("paragraph_number"),
-        id_number(F.col("id"), undashed=None).cast("string").alias("heading_number"),
-        id_is_broken(F.col("id")).cast("int").alias("broken"),
+        f"cast({has_id('id')} as int) as has_id",
+        f"cast({id_number('id')} as string) as paragraph_number",
+        f"cast({id_number('id', undashed='null')} as string) as heading_number",
+        f"cast({id_is_broken('id')} as int) as broken",
     )
 
 
@@ -275,18 +270,15 @@ def _indexed_lines(spark, folder):
 
 
 def first_heading(spark, folder):
-    found = _indexed_lines(spark, folder)
-    return found.select(
-        "doc_id", first_heading_id(F.col("headings"), SUMMARY_WORD).alias("first_id")
-    )
+    found = first_heading_id(SUMMARY_WORD)
+    return _indexed_lines(spark, folder).selectExpr("doc_id", f"{found} as first_id")
 
 
 def last_heading(spark, folder):
-    column = F.col("headings")
-    return _indexed_lines(spark, folder).select(
+    return _indexed_lines(spark, folder).selectExpr(
         "doc_id",
-        last_heading_id(column, SUMMARY_WORD).alias("summary_id"),
-        last_heading_id(column, BACKGROUND_WORD, SUMMARY_WORD).alias("background_id"),
+        f"{last_heading_id(SUMMARY_WORD)} as summary_id",
+        f"{last_heading_id(BACKGROUND_WORD, SUMMARY_WORD)} as background_id",
     )
 
 
@@ -396,14 +388,14 @@ def _xml_documents(spark, folder):
 
 def xml_nodes(spark, folder):
     rows = node_rows(document_nodes(_xml_documents(spark, folder)))
-    node = {name: F.col(name) for name in ("full_text", "text", "tails")}
-    return rows.filter("node_id is not null").select(
-        F.col("url").cast("bigint").alias("doc_id"),
+    rows = rows.withColumn("direct", F.expr(direct_text("text", "tails", " ")))
+    return rows.filter("node_id is not null").selectExpr(
+        "cast(url as bigint) as doc_id",
         "tag",
         "node_id",
         "text",
-        stripped(direct_text(node, " ")).alias("direct_text"),
-        heading_text(node).alias("heading_text"),
+        f"{stripped('direct')} as direct_text",
+        f"{heading_text('full_text')} as heading_text",
     )
 
 
@@ -413,7 +405,7 @@ def xml_document_code(spark, folder):
     views.xml_payloads(spark, folder).write.parquet(path)
     documents = document_nodes(payload_documents(read_payload_table(spark, path)))
     return documents.select(
-        F.col("url").cast("bigint").alias("doc_id"), document_code(F.col("nodes")).alias("code")
+        F.col("url").cast("bigint").alias("doc_id"), F.expr(document_code()).alias("code")
     )
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from foliosift import fixed_values as V
 from foliosift.functions.nodes import HEADING, PARAGRAPH
+from foliosift.functions.text import literal
+from foliosift.session import spread
 
 
 def table(spark, folder, name):
@@ -48,93 +50,68 @@ def printable(rows):
     return rows.withColumns(changed)
 
 
-def _lines():
-    return F.split(F.col("text"), "\n")
+def documents(spark, folder, *columns):
+    return spread(table(spark, folder, "documents").select("doc_id", *columns), "doc_id")
+
+
+LINES = r"split(text, '\n')"
 
 
 def line_nodes(spark, folder):
     """One row (doc_id, nodes) for each document: its lines as elements of a list."""
     # Fields in the order of the node schema.
-    node = lambda line, at: F.struct(
-        at.alias("pos"),
-        F.lit(True).alias("root_child"),
-        F.when(F.length(line) < V.HEADING_LENGTH, F.lit(HEADING))
-        .otherwise(F.lit(PARAGRAPH))
-        .alias("tag"),
-        F.concat(F.lit("n-"), at.cast("string")).alias("node_id"),
-        line.alias("text"),
-        F.array().cast("array<string>").alias("tails"),
-        line.alias("full_text"),
-    )
-    documents = table(spark, folder, "documents").select("doc_id", "text")
-    return documents.select("doc_id", F.transform(_lines(), node).alias("nodes"))
+    node = f"""named_struct('pos', at, 'root_child', true,
+        'tag', if(length(line) < {V.HEADING_LENGTH}, '{HEADING}', '{PARAGRAPH}'),
+        'node_id', concat('n-', at), 'text', line,
+        'tails', cast(array() as array<string>), 'full_text', line)"""
+    rows = documents(spark, folder, "text")
+    return rows.selectExpr("doc_id", f"transform({LINES}, (line, at) -> {node}) as nodes")
 
 
 def line_listings(spark, folder):
     """Each document as a listing: every line is a listed document with two options."""
-    document = lambda line: F.struct(
-        F.when(F.length(line) < V.HEADING_LENGTH, F.lit("ABST"))
-        .when(F.contains(line, F.lit("?")), F.lit("CLM"))
-        .otherwise(F.lit("SPEC"))
-        .alias("documentCode"),
-        F.array(
-            F.struct(
-                F.left(line, F.lit(2)).alias("downloadUrl"),
-                F.when(F.contains(line, F.lit(",")), F.lit("XML"))
-                .otherwise(F.lit("PDF"))
-                .alias("mimeTypeIdentifier"),
-            ),
-            F.struct(
-                F.right(line, F.lit(2)).alias("downloadUrl"),
-                F.lit("XML").alias("mimeTypeIdentifier"),
-            ),
-        ).alias("downloadOptionBag"),
-    )
-    return table(spark, folder, "documents").select(
-        F.col("doc_id").cast("string").alias("application_number"),
-        F.transform(_lines(), document).alias("documentBag"),
+    document = f"""named_struct(
+        'documentCode', case when length(line) < {V.HEADING_LENGTH} then 'ABST'
+                             when contains(line, '?') then 'CLM' else 'SPEC' end,
+        'downloadOptionBag', array(
+            named_struct('downloadUrl', left(line, 2),
+                         'mimeTypeIdentifier', if(contains(line, ','), 'XML', 'PDF')),
+            named_struct('downloadUrl', right(line, 2), 'mimeTypeIdentifier', 'XML')))"""
+    return documents(spark, folder, "text").selectExpr(
+        "cast(doc_id as string) as application_number",
+        f"transform({LINES}, line -> {document}) as documentBag",
     )
 
 
-def _escaped(text):
-    for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
-        text = F.replace(text, F.lit(plain), F.lit(entity))
-    return text
-
-
 def xml_payloads(spark, folder):
     """Each document as payload bytes: one specification between a preface and a decoy.
 
     A line is an element with an id. What a heading is for stands in a nested element,
     so that the leading text of every element is exactly its line.
     """
-    heading = lambda line: F.length(line) < V.HEADING_LENGTH
-    purpose = lambda line: (
-        F.when(F.contains(F.upper(line), F.lit("TH")), F.lit("abstract and summary"))
-        .when(F.contains(F.upper(line), F.lit("AN")), F.lit("background"))
-        .otherwise(F.lit("note"))
+    escaped = "replace(replace(replace(line, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+    tag = f"if(length(line) < {V.HEADING_LENGTH}, 'uscom:Heading', 'uscom:P')"
+    purpose = (
+        "case when contains(upper(line), 'TH') then 'abstract and summary' "
+        "when contains(upper(line), 'AN') then 'background' else 'note' end"
     )
-    tag = lambda line: F.when(heading(line), F.lit("uscom:Heading")).otherwise(F.lit("uscom:P"))
-    element = lambda line, at: F.concat(
-        F.lit("<"), tag(line), F.lit(' com:id="n-'), at.cast("string"), F.lit('">'),
-        _escaped(line),
-        F.lit("<uscom:I>"), purpose(line), F.lit("</uscom:I></"), tag(line), F.lit(">"),
+    element = (
+        f"concat('<', {tag}, ' com:id=\"n-', at, '\">', {escaped}, "
+        f"'<uscom:I>', {purpose}, '</uscom:I></', {tag}, '>')"
     )
     opening = (
-        V.DOCUMENT_START
+        "preface" + V.XML_DECLARATION + V.DOCUMENT_START
         + f' xmlns:uspat="{V.DOCUMENT_NAMESPACE}" xmlns:uscom="{V.COMMON_NAMESPACE}"'
-        + f' xmlns:com="{V.ID_NAMESPACE}">'
+        + f' xmlns:com="{V.ID_NAMESPACE}"><uscom:DocumentCode>'
     )
     decoy = V.XML_DECLARATION + f'<uspat:ClaimSet xmlns:uspat="{V.DOCUMENT_NAMESPACE}"/>'
-    text = F.concat(
-        F.lit("preface" + V.XML_DECLARATION + opening + "<uscom:DocumentCode>"),
-        F.col("lang"),
-        F.lit("</uscom:DocumentCode>"),
-        F.array_join(F.transform(_lines(), element), ""),
-        F.lit(V.DOCUMENT_END + decoy),
+    text = (
+        f"concat({literal(opening)}, lang, '</uscom:DocumentCode>', "
+        f"array_join(transform({LINES}, (line, at) -> {element}), ''), "
+        f"{literal(V.DOCUMENT_END + decoy)})"
     )
-    return table(spark, folder, "documents").select(
-        F.col("doc_id").cast("string").alias("url"), F.encode(text, "UTF-8").alias("content")
+    return documents(spark, folder, "text", "lang").selectExpr(
+        "cast(doc_id as string) as url", f"encode({text}, 'UTF-8') as content"
     )
 
 

@@ -1,19 +1,17 @@
-"""Column helpers on classification code lists."""
+"""Columns on classification code lists."""
 
-from functools import reduce
 from itertools import groupby
-from operator import or_
 
 from pyspark.sql import functions as F
 
-from foliosift.functions.text import stripped
+from foliosift.functions.text import WHITE_SPACE, literal
 
 EMPTY_LIST_TEXT = "[]"
 
 
 def without_spaces(codes):
-    """Remove every space from each code of a list."""
-    return F.transform(codes, lambda code: F.replace(code, F.lit(" "), F.lit("")))
+    """List column ``codes`` with every space removed from each code."""
+    return F.expr(f"transform({codes}, code -> replace(code, ' ', ''))")
 
 
 def split_codes(text):
@@ -31,35 +29,31 @@ def joined_codes(codes):
     )
 
 
-def _any_of(tests):
-    return reduce(or_, tests, F.lit(False))
+def _one_of(value, texts):
+    return f"{value} in ({', '.join(map(literal, texts))})"
 
 
 def _under_prefix(code, prefixes):
     # One hash lookup for each prefix length, whatever the number of prefixes.
-    by_length = groupby(sorted(set(prefixes), key=lambda p: (len(p), p)), key=len)
-    return _any_of(F.substring(code, 1, n).isin(list(same)) for n, same in by_length)
+    ordered = sorted(set(prefixes), key=lambda prefix: (len(prefix), prefix))
+    return [_one_of(f"left({code}, {n})", same) for n, same in groupby(ordered, len)]
 
 
-def _holds_code(codes, test):
-    found = F.exists(codes, lambda code: F.coalesce(test(code), F.lit(False)))
-    return F.coalesce(found, F.lit(False))
+def _any_code(codes, tests):
+    if not tests:
+        return F.lit(False)
+    return F.expr(f"coalesce(exists({codes}, code -> coalesce({' or '.join(tests)}, false)), false)")
 
 
 def any_code_under(codes, prefixes):
-    """True where any code starts with any of ``prefixes``; no codes is false."""
-    return _holds_code(codes, lambda code: _under_prefix(stripped(code), prefixes))
+    """True where any code of column ``codes`` starts with a prefix; not without codes."""
+    return _any_code(codes, _under_prefix(f"ltrim({literal(WHITE_SPACE)}, code)", prefixes))
 
 
 def any_code_matches(codes, patterns):
     """True where any code equals a pattern, or starts with one that ends in ``*``."""
-    packed = [pattern.replace(" ", "") for pattern in patterns]
-    exact = sorted({p for p in packed if not p.endswith("*")})
-    prefixes = [p[:-1] for p in packed if p.endswith("*")]
-
-    def test(code):
-        bare = F.replace(code, F.lit(" "), F.lit(""))
-        equal = bare.isin(exact) if exact else F.lit(False)
-        return equal | _under_prefix(bare, prefixes)
-
-    return _holds_code(codes, test)
+    packed = {pattern.replace(" ", "") for pattern in patterns}
+    exact = sorted(pattern for pattern in packed if not pattern.endswith("*"))
+    bare = "replace(code, ' ', '')"
+    tests = _under_prefix(bare, [pattern[:-1] for pattern in packed if pattern.endswith("*")])
+    return _any_code(codes, [*tests, *([_one_of(bare, exact)] if exact else [])])

@@ -1,28 +1,23 @@
-"""Numbers inside element ids: ``h-1`` is 1, ``p-3`` is 3."""
-
-from pyspark.sql import functions as F
+"""SQL on element ids: the number of ``h-1`` is 1, that of ``p-3`` is 3."""
 
 
 def has_id(node_id):
-    return F.coalesce(node_id != "", F.lit(False))
-
-
-def _dashed(node_id):
-    return F.coalesce(F.contains(node_id, F.lit("-")), F.lit(False))
+    return f"coalesce({node_id} <> '', false)"
 
 
 def _after_dash(node_id):
-    return F.split_part(node_id, F.lit("-"), F.lit(2)).try_cast("bigint")
+    return f"try_cast(split_part({node_id}, '-', 2) as bigint)"
 
 
-def id_number(node_id, undashed=0):
+def id_number(node_id, undashed="0"):
     """The number after the dash; ``undashed`` for an id without one; null for no id."""
-    number = F.when(_dashed(node_id), _after_dash(node_id)).otherwise(
-        F.lit(undashed).cast("bigint")
+    return (
+        f"case when {node_id} = '' then null when contains({node_id}, '-') "
+        f"then {_after_dash(node_id)} when {node_id} is not null "
+        f"then cast({undashed} as bigint) end"
     )
-    return F.when(has_id(node_id), number)
 
 
 def id_is_broken(node_id):
     """True where a dash is followed by something that is no number."""
-    return _dashed(node_id) & _after_dash(node_id).isNull()
+    return f"coalesce(contains({node_id}, '-') and {_after_dash(node_id)} is null, false)"

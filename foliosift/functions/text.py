@@ -1,4 +1,8 @@
-"""Column helpers on text."""
+"""SQL texts and columns on text.
+
+Rules on array elements are written as SQL texts: a lambda built call by call costs a
+round trip to the JVM for each of its parts.
+"""
 
 from pyspark.sql import functions as F
 
@@ -23,18 +27,24 @@ WHITE_SPACE = "".join(
 )
 
 
+def literal(text):
+    """``text`` as a SQL string literal."""
+    escaped = (c if c.isalnum() or c in " .,;:/*-_<>=" else f"\\U{ord(c):08X}" for c in text)
+    return "'" + "".join(escaped) + "'"
+
+
 def stripped(text):
-    """``text`` without white space at either end; Spark's own trim takes only spaces.
+    """SQL: ``text`` without white space at either end; plain trim takes only spaces.
 
     Most text has none there, which the first and last character tell at little cost.
     """
-    edges = F.concat(F.left(text, F.lit(1)), F.right(text, F.lit(1)))
-    padded = F.translate(edges, WHITE_SPACE, "") != edges
-    return F.when(padded, F.btrim(text, F.lit(WHITE_SPACE))).otherwise(text)
+    space = literal(WHITE_SPACE)
+    edges = f"concat(left({text}, 1), right({text}, 1))"
+    return f"if(translate({edges}, {space}, '') <> {edges}, btrim({text}, {space}), {text})"
 
 
 def holds_any_term(text, terms):
-    """True where ``text`` holds one of ``terms`` in any letter case; null text is false."""
+    """True where column ``text`` holds one of ``terms`` in any letter case; not for null."""
     if not terms:
         return F.lit(False)
     quoted = ("\\Q" + term.replace("\\E", "\\E\\\\E\\Q") + "\\E" for term in terms)

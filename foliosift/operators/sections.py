@@ -13,16 +13,21 @@ from foliosift.functions.nodes import (
     last_heading_id,
     longer_when_stripped,
 )
-from foliosift.functions.text import stripped
+from foliosift.functions.text import literal, stripped
 
 BROKEN_ID = "id without a number after the dash"
 
 
+def _with_steps(df, *steps):
+    """Add columns step by step; a step may use those before it."""
+    for step in steps:
+        df = df.withColumns({name: F.expr(text) for name, text in step.items()})
+    return df
+
+
 def indexed(documents, nodes="nodes"):
     """Add ``headings`` and ``children``, which the section rules below look at."""
-    return documents.withColumns(
-        {"headings": headings(F.col(nodes)), "children": children(F.col(nodes))}
-    )
+    return _with_steps(documents, {"headings": headings(nodes), "children": children(nodes)})
 
 
 def with_abstract(
@@ -39,60 +44,25 @@ def with_abstract(
     paragraph longer than ``fallback_longer_than``. A broken id met before that child
     leaves the document without an abstract.
     """
-    heading_id, number, hit = F.col("_heading_id"), F.col("_number"), F.col("_hit")
-    behind = F.filter(
-        "children", lambda child: child["num"].isNull() | (child["num"] > number)
-    )
-    texts = F.transform(
-        behind,
-        lambda child: F.struct(
-            child["num"].isNull().alias("broken"),
-            F.when(child["num"].isNotNull(), direct_text(child, " ")).alias("text"),
-        ),
-    )
-    long_enough = longer_when_stripped(longer_than)
-    hits = F.filter(texts, lambda child: child["broken"] | long_enough(child["text"]))
-    broken = id_is_broken(heading_id) | F.coalesce(hit["broken"], F.lit(False))
-    fallback = first_long_paragraph(F.col(nodes), fallback_longer_than)
-    return (
-        documents.withColumn("_heading_id", first_heading_id(F.col("headings"), word))
-        .withColumn("_number", id_number(heading_id))
-        .withColumn("_hit", F.when(number.isNotNull(), F.try_element_at(hits, F.lit(1))))
-        .withColumn("abstract_error", F.when(broken, F.lit(BROKEN_ID)))
-        .withColumn("abstract", F.when(~broken, F.coalesce(hit["text"], fallback)))
-        .withColumn("abstract", stripped(F.col("abstract")))
-        .drop("_heading_id", "_number", "_hit")
-    )
-
-
-def _candidates(children, after_number, at_most, after_pos=None):
-    """The first children with text whose number lies behind the heading of a section.
-
-    One more than a section may hold is enough to see where it ends.
-    """
-
-    def wanted(child):
-        test = (child["num"] > after_number) & (child["text"] != "")
-        return test if after_pos is None else test & (child["pos"] > after_pos)
-
-    return F.slice(F.filter(children, wanted), 1, at_most + 1)
-
-
-def _first_short(candidates, shorter_than):
-    short = F.transform(candidates, lambda child: F.length(child["text"]) < shorter_than)
-    return F.array_position(short, F.lit(True)).cast("int")
-
-
-def _end(candidates, first_short, at_most):
-    """Index of the candidate that ends the section; null where none does."""
-    return F.when(first_short > 0, first_short).when(
-        F.size(candidates) > at_most, F.lit(at_most + 1)
+    behind = "filter(children, c -> c.num is null or c.num > _number)"
+    texts = (
+        f"transform({behind}, c -> named_struct('broken', c.num is null, "
+        f"'text', {direct_text('c.text', 'c.tails', ' ')}))"
     )
-
-
-def _joined(candidates, end):
-    kept = F.slice(candidates, F.lit(1), F.coalesce(end - 1, F.size(candidates)))
-    return F.coalesce(F.array_join(F.transform(kept, lambda child: child["text"]), " "), F.lit(""))
+    hits = f"filter({texts}, c -> c.broken or {longer_when_stripped('c.text', longer_than)})"
+    found = f"coalesce(_hit.text, {first_long_paragraph(fallback_longer_than, nodes)})"
+    return _with_steps(
+        documents,
+        {"_heading_id": first_heading_id(word)},
+        {"_number": id_number("_heading_id")},
+        {"_hit": f"if(_number is not null, try_element_at({hits}, 1), null)"},
+        {"_broken": f"{id_is_broken('_heading_id')} or coalesce(_hit.broken, false)"},
+        {
+            "_found": f"if(_broken, null, {found})",
+            "abstract_error": f"if(_broken, {literal(BROKEN_ID)}, null)",
+        },
+        {"abstract": stripped("_found")},
+    ).drop("_heading_id", "_number", "_hit", "_broken", "_found")
 
 
 def with_spec_sections(
@@ -109,50 +79,51 @@ def with_spec_sections(
     the first; the summary comes first unless the background heading has the lower,
     non-zero number. Any broken id leaves both sections null.
     """
-    s, b, c1, c2 = F.col("_s"), F.col("_b"), F.col("_c1"), F.col("_c2")
-    summary_leads, background_leads = F.col("_summary_leads"), F.col("_background_leads")
-    broken = (
-        id_is_broken(F.col("_s_id"))
-        | id_is_broken(F.col("_b_id"))
-        | F.exists("children", lambda child: child["num"].isNull())
-    )
-    steps = [
-        {
-            "_s_id": last_heading_id(F.col("headings"), summary_word),
-            "_b_id": last_heading_id(F.col("headings"), background_word, summary_word),
-        },
+
+    def candidates(number, after=""):
+        # One more than a section may hold is enough to see where it ends.
+        behind = f"filter(children, c -> c.num > {number} and c.text <> ''{after})"
+        return f"slice({behind}, 1, {at_most + 1})"
+
+    def end(found):
+        # Index of the candidate that ends the section; null where none does.
+        short = f"array_position(transform({found}, c -> length(c.text) < {shorter_than}), true)"
+        full = f"if(size({found}) > {at_most}, {at_most + 1}, null)"
+        return f"cast(coalesce(nullif({short}, 0), {full}) as int)"
+
+    def joined(found, stop):
+        kept = f"slice({found}, 1, coalesce({stop} - 1, size({found})))"
+        return f"coalesce(array_join(transform({kept}, c -> c.text), ' '), '')"
+
+    found = _with_steps(
+        documents,
         {
-            "_broken": broken,
-            "_s": id_number(F.col("_s_id"), undashed=None),
-            "_b": id_number(F.col("_b_id"), undashed=None),
+            "_s_id": last_heading_id(summary_word),
+            "_b_id": last_heading_id(background_word, summary_word),
         },
-        {"_background_leads": F.coalesce((s != 0) & (b != 0) & (b < s), F.lit(False))},
-        {"_summary_leads": s.isNotNull() & ~background_leads},
         {
-            "_n1": F.when(summary_leads, s).otherwise(b),
-            "_n2": F.when(summary_leads, b).when(background_leads, s),
+            "_broken": f"{id_is_broken('_s_id')} or {id_is_broken('_b_id')} "
+            "or exists(children, c -> c.num is null)",
+            "_s": id_number("_s_id", undashed="null"),
+            "_b": id_number("_b_id", undashed="null"),
         },
-        {"_c1": _candidates(F.col("children"), F.col("_n1"), at_most)},
-        {"_short1": _first_short(c1, shorter_than)},
-        {"_end1": _end(c1, F.col("_short1"), at_most)},
+        {"_background_leads": "coalesce(_s <> 0 and _b <> 0 and _b < _s, false)"},
+        {"_summary_leads": "_s is not null and not _background_leads"},
         {
-            "_t1": _joined(c1, F.col("_end1")),
-            "_end_pos": F.try_element_at(c1, F.col("_end1"))["pos"],
+            "_n1": "if(_summary_leads, _s, _b)",
+            "_n2": "case when _summary_leads then _b when _background_leads then _s end",
         },
-        {"_c2": _candidates(F.col("children"), F.col("_n2"), at_most, F.col("_end_pos"))},
-        {"_short2": _first_short(c2, shorter_than)},
-        {"_end2": _end(c2, F.col("_short2"), at_most)},
-        {"_t2": _joined(c2, F.col("_end2"))},
-    ]
-    found = documents
-    for step in steps:
-        found = found.withColumns(step)
+        {"_c1": candidates("_n1")},
+        {"_e1": end("_c1")},
+        {"_t1": joined("_c1", "_e1"), "_stop": "try_element_at(_c1, _e1).pos"},
+        {"_c2": candidates("_n2", " and c.pos > _stop")},
+        {"_e2": end("_c2")},
+        {"_t2": joined("_c2", "_e2")},
+    )
     # Null for a document that is broken or was not parsed.
-    usable = ~F.col("_broken")
-    t1, t2 = F.col("_t1"), F.col("_t2")
-    return found.select(
+    return found.selectExpr(
         *documents.columns,
-        F.when(usable, F.when(summary_leads, t1).otherwise(t2)).alias("summary"),
-        F.when(usable, F.when(summary_leads, t2).otherwise(t1)).alias("background"),
-        F.when(F.col("_broken"), F.lit(BROKEN_ID)).alias("spec_error"),
+        "case when not _broken then if(_summary_leads, _t1, _t2) end as summary",
+        "case when not _broken then if(_summary_leads, _t2, _t1) end as background",
+        f"if(_broken, {literal(BROKEN_ID)}, null) as spec_error",
     )

@@ -16,7 +16,7 @@ def normalised(apps):
     """Codes without spaces, titles in lower case."""
     return apps.withColumns(
         {
-            "cpcs": without_spaces(F.col("cpcs")),
+            "cpcs": without_spaces("cpcs"),
             "invention_title": F.lower("invention_title"),
         }
     )
@@ -29,7 +29,7 @@ def filed_between(apps, first=V.FIRST_FILING_DATE, last=V.LAST_FILING_DATE):
 
 def without_codes_under(apps, prefixes=V.EXCLUDED_CODE_PREFIXES):
     """Drop applications with any code under a prefix; those without codes stay."""
-    return apps.filter(~any_code_under(F.col("cpcs"), prefixes))
+    return apps.filter(~any_code_under("cpcs", prefixes))
 
 
 def without_title_terms(apps, terms=V.MEDICAL_TITLE_TERMS):
@@ -56,7 +56,7 @@ def with_codes_matching(apps, patterns=None, default=None, key="application_numb
     if listed == []:
         raise ValueError("give patterns or a default list of patterns")
     if table is None:
-        return apps.filter(any_code_matches(F.col("cpcs"), listed))
+        return apps.filter(any_code_matches("cpcs", listed))
     return _by_key(apps, table, key, "left_semi")
 
 
@@ -64,7 +64,7 @@ def without_codes_matching(apps, patterns, key="application_number"):
     """Drop applications with a code that matches a pattern; a list or a table."""
     listed, table = _pattern_list(patterns)
     if table is None:
-        return apps.filter(~any_code_matches(F.col("cpcs"), listed))
+        return apps.filter(~any_code_matches("cpcs", listed))
     return _by_key(apps, table, key, "left_anti")
 
 
@@ -102,7 +102,7 @@ def matching_keys(apps, patterns, key):
     # At most one row for each possible length of a code.
     lengths = [row[0] for row in wanted.select("_length").distinct().collect()]
     exploded = apps.select(
-        F.col(key).alias("_key"), F.explode(without_spaces(F.col("cpcs"))).alias("_code")
+        F.col(key).alias("_key"), F.explode(without_spaces("cpcs")).alias("_code")
     )
     cuts = F.array(
         *(

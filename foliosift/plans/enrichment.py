@@ -6,7 +6,7 @@ from foliosift.operators.documents import document_nodes, payload_documents
 from foliosift.operators.reduce import attached, before_stop, best_texts, longest_texts
 from foliosift.operators.references import listed_documents, xml_references
 from foliosift.operators.sections import indexed, with_abstract, with_spec_sections
-from foliosift.session import written
+from foliosift.session import spread, written
 
 TEXTS = ["abstract", "background", "summary"]
 ERRORS = ["xml_error", "abstract_error", "spec_error"]
@@ -63,6 +63,6 @@ def enriched(apps, listings, payloads, everything=True):
     references = written(references, "references")
     if not everything:
         payloads = payloads.join(references.select("url"), "url", "left_semi")
-    pieces = written(piece_texts(payload_documents(payloads)), "pieces")
+    pieces = written(piece_texts(payload_documents(spread(payloads, "url"))), "pieces")
     files = written(file_texts(pieces), "files")
     return attached(apps, written(application_texts(references, files), "texts")), pieces

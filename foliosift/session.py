@@ -45,6 +45,16 @@ def scratch_path(spark, label):
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df, key):
+    """``df`` over all cores when its files are fewer than the cores.
+
+    For work that costs far more than reading, such as parsing. An input of more splits
+    than cores, the usual case, stays as it is and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def written(df, label):
     """Write ``df`` once to the shared folder and return the stored table.
 
