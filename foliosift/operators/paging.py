@@ -72,6 +72,11 @@ def with_pages(
     )
 
 
+def pages_between(paged, first, last):
+    """Rows of the pages from ``first`` up to, but not including, ``last``."""
+    return paged.filter((F.col("page") >= first) & (F.col("page") < last))
+
+
 def page_summary(paged, key="application_number", position="position"):
     """Rows and last key of each page."""
     return paged.groupBy("bucket", "page").agg(

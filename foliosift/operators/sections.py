@@ -1,7 +1,5 @@
 """Abstract, summary and background of one document. Map-only on node lists."""
 
-from pyspark.sql import functions as F
-
 from foliosift import fixed_values as V
 from foliosift.functions.ids import id_is_broken, id_number
 from foliosift.functions.nodes import (
@@ -18,16 +16,14 @@ from foliosift.functions.text import literal, stripped
 BROKEN_ID = "id without a number after the dash"
 
 
-def _with_steps(df, *steps):
-    """Add columns step by step; a step may use those before it."""
-    for step in steps:
-        df = df.withColumns({name: F.expr(text) for name, text in step.items()})
-    return df
+def _with(df, columns):
+    """Add columns in one select; each may use those before it."""
+    return df.selectExpr("*", *(f"{text} as {name}" for name, text in columns.items()))
 
 
 def indexed(documents, nodes="nodes"):
     """Add ``headings`` and ``children``, which the section rules below look at."""
-    return _with_steps(documents, {"headings": headings(nodes), "children": children(nodes)})
+    return _with(documents, {"headings": headings(nodes), "children": children(nodes)})
 
 
 def with_abstract(
@@ -51,18 +47,17 @@ def with_abstract(
     )
     hits = f"filter({texts}, c -> c.broken or {longer_when_stripped('c.text', longer_than)})"
     found = f"coalesce(_hit.text, {first_long_paragraph(fallback_longer_than, nodes)})"
-    return _with_steps(
-        documents,
-        {"_heading_id": first_heading_id(word)},
-        {"_number": id_number("_heading_id")},
-        {"_hit": f"if(_number is not null, try_element_at({hits}, 1), null)"},
-        {"_broken": f"{id_is_broken('_heading_id')} or coalesce(_hit.broken, false)"},
-        {
-            "_found": f"if(_broken, null, {found})",
-            "abstract_error": f"if(_broken, {literal(BROKEN_ID)}, null)",
-        },
-        {"abstract": stripped("_found")},
-    ).drop("_heading_id", "_number", "_hit", "_broken", "_found")
+    columns = {
+        "_heading_id": first_heading_id(word),
+        "_number": id_number("_heading_id"),
+        "_hit": f"if(_number is not null, try_element_at({hits}, 1), null)",
+        "_broken": f"{id_is_broken('_heading_id')} or coalesce(_hit.broken, false)",
+        "_found": f"if(_broken, null, {found})",
+        "abstract_error": f"if(_broken, {literal(BROKEN_ID)}, null)",
+        "abstract": stripped("_found"),
+    }
+    own = [name for name in columns if name.startswith("_")]
+    return _with(documents, columns).drop(*own)
 
 
 def with_spec_sections(
@@ -95,33 +90,27 @@ def with_spec_sections(
         kept = f"slice({found}, 1, coalesce({stop} - 1, size({found})))"
         return f"coalesce(array_join(transform({kept}, c -> c.text), ' '), '')"
 
-    found = _with_steps(
-        documents,
-        {
-            "_s_id": last_heading_id(summary_word),
-            "_b_id": last_heading_id(background_word, summary_word),
-        },
-        {
-            "_broken": f"{id_is_broken('_s_id')} or {id_is_broken('_b_id')} "
-            "or exists(children, c -> c.num is null)",
-            "_s": id_number("_s_id", undashed="null"),
-            "_b": id_number("_b_id", undashed="null"),
-        },
-        {"_background_leads": "coalesce(_s <> 0 and _b <> 0 and _b < _s, false)"},
-        {"_summary_leads": "_s is not null and not _background_leads"},
-        {
-            "_n1": "if(_summary_leads, _s, _b)",
-            "_n2": "case when _summary_leads then _b when _background_leads then _s end",
-        },
-        {"_c1": candidates("_n1")},
-        {"_e1": end("_c1")},
-        {"_t1": joined("_c1", "_e1"), "_stop": "try_element_at(_c1, _e1).pos"},
-        {"_c2": candidates("_n2", " and c.pos > _stop")},
-        {"_e2": end("_c2")},
-        {"_t2": joined("_c2", "_e2")},
-    )
+    columns = {
+        "_s_id": last_heading_id(summary_word),
+        "_b_id": last_heading_id(background_word, summary_word),
+        "_broken": f"{id_is_broken('_s_id')} or {id_is_broken('_b_id')} "
+        "or exists(children, c -> c.num is null)",
+        "_s": id_number("_s_id", undashed="null"),
+        "_b": id_number("_b_id", undashed="null"),
+        "_background_leads": "coalesce(_s <> 0 and _b <> 0 and _b < _s, false)",
+        "_summary_leads": "_s is not null and not _background_leads",
+        "_n1": "if(_summary_leads, _s, _b)",
+        "_n2": "case when _summary_leads then _b when _background_leads then _s end",
+        "_c1": candidates("_n1"),
+        "_e1": end("_c1"),
+        "_t1": joined("_c1", "_e1"),
+        "_stop": "try_element_at(_c1, _e1).pos",
+        "_c2": candidates("_n2", " and c.pos > _stop"),
+        "_e2": end("_c2"),
+        "_t2": joined("_c2", "_e2"),
+    }
     # Null for a document that is broken or was not parsed.
-    return found.selectExpr(
+    return _with(documents, columns).selectExpr(
         *documents.columns,
         "case when not _broken then if(_summary_leads, _t1, _t2) end as summary",
         "case when not _broken then if(_summary_leads, _t2, _t1) end as background",

@@ -51,3 +51,9 @@ def test_page_summary(spark, size, per_bucket):
     assert sum(row.n_rows for row in rows) == 1000
     last = [min((n + 1) * size, 1000) - 1 for n in range(len(rows))]
     assert [int(row.last_application_number[1:]) for row in rows] == last
+
+
+def test_pages_between(spark):
+    paged = P.with_pages(P.numbered(apps(spark), [F.asc("application_number")]), size=50)
+    rows = P.pages_between(paged, 3, 5).collect()
+    assert sorted(row.position for row in rows) == list(range(150, 250))
