@@ -109,7 +109,7 @@ def _pattern_table(spark, folder):
 
 
 def cpc_include_table(spark, folder):
-    apps = views.apps(spark, folder)
+    apps = written(views.apps(spark, folder), "apps")
     keys = matching_keys(apps, _pattern_table(spark, folder), "application_number")
     return keys.select(F.col("_key").alias("application_number"))
 

@@ -22,6 +22,7 @@ def apps(spark, folder, orders=None):
     orders = table(spark, folder, "orders") if orders is None else orders
     parts = table(spark, folder, "part").select("p_partkey", "p_brand", "p_name")
     items = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
+    items = spread(items, "l_orderkey")
     codes = (
         items.join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("l_orderkey")

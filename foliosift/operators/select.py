@@ -48,7 +48,8 @@ def with_codes_matching(apps, patterns=None, default=None, key="application_numb
 
     A pattern is a code, or a prefix when it ends in ``*``. ``patterns`` is a list or a
     one-column table; null or an empty one means ``default``. The filter is a predicate
-    on the row, without shuffle, unless the table is longer than ``INLINE_PATTERNS``.
+    on the row, without shuffle, unless the table is longer than ``INLINE_PATTERNS``;
+    then ``apps`` is read three times and should be a stored table.
     """
     listed, table = _pattern_list(patterns)
     if listed == []:
