@@ -1,9 +1,10 @@
 """Order, pages and page summaries."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from foliosift import fixed_values as V
-from foliosift.session import scratch_path
+from foliosift.session import scratch_path, written
 
 # Deepest row that a page may reach by top-k. Beyond it rows are numbered in parallel.
 TOP_ROWS = 100_000
@@ -45,16 +46,27 @@ def in_stored_order(stored, position="position"):
     )
 
 
+def _placed(df):
+    """``df`` with the file and row that each of its rows is stored in."""
+    place = ["_metadata.file_path as _file", "_metadata.row_index as _index"]
+    try:
+        return df.selectExpr("*", *place)
+    except AnalysisException:
+        return written(df, "unordered").selectExpr("*", *place)
+
+
 def numbered(df, order, position="position"):
-    """Number rows from 0 by ``order``, whose columns identify a row.
+    """Number rows from 0 by ``order``; equal rows in stored order.
 
     Rows are range-partitioned, sorted and stored once in the shared folder; positions
-    then follow from the file order, so no task ever holds more than its own range.
+    then follow from the file order. The place of a row in its file makes every sort key
+    distinct, so even copies that are a third of all rows spread over many tasks. Input
+    that is no plain table is stored first: choosing the ranges reads it once more.
     """
+    keys = [*order, "_file", "_index"]
     path = scratch_path(df.sparkSession, "ordered")
-    df.repartitionByRange(*order).sortWithinPartitions(*order).write.option(
-        "maxRecordsPerFile", 0
-    ).parquet(path)
+    rows = _placed(df).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    rows.drop("_file", "_index").write.option("maxRecordsPerFile", 0).parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     return in_stored_order(stored, position)
 

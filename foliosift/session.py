@@ -36,12 +36,13 @@ def scratch_path(spark, label):
 
     A machine-local folder serves only a local session that names none.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="foliosift-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        context.setCheckpointDir(shared)
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

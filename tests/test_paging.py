@@ -1,7 +1,10 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
 from foliosift.operators import paging as P
+from foliosift.session import scratch_path
 
 
 def apps(spark, n=1000):
@@ -29,6 +32,43 @@ def test_numbered(spark):
     assert all(int(row.application_number[1:]) == row.position for row in rows) and len(rows) == 1000
 
 
+@pytest.mark.parametrize("stored", [True, False])
+def test_numbered_copies(spark, tmp_path, stored):
+    """A third of the rows are copies; they spread over the ranges and all get a number."""
+    n = 30_000
+    key = F.when(F.col("id") % 3 == 0, F.lit("c")).otherwise(F.concat(F.lit("d"), F.lpad("id", 6, "0")))
+    frame = spark.range(0, n, 1, 6).select(key.alias("application_number"), F.col("id") % 2)
+    if stored:
+        frame.write.parquet(str(tmp_path / "rows"))
+        frame = spark.read.parquet(str(tmp_path / "rows")).filter("application_number <> 'x'")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = P.numbered(frame, [F.asc("application_number")])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    found = rows.collect()
+    assert sorted(row.position for row in found) == list(range(n))
+    by_position = [row.application_number for row in sorted(found, key=lambda row: row.position)]
+    assert by_position == sorted(by_position)
+    files = rows.inputFiles()
+    hot = [f for f in files if spark.read.parquet(f).filter("application_number = 'c'").limit(1).count()]
+    assert len(files) == 4 and len(hot) == 2
+
+
+def test_scratch_needs_a_shared_folder():
+    context = SimpleNamespace(master="spark://x:1", getCheckpointDir=lambda: None)
+    made = []
+    context.setCheckpointDir = made.append
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda name, default: default))
+    with pytest.raises(ValueError):
+        scratch_path(session, "x")
+    context.master = "local[2]"
+    assert scratch_path(session, "x").startswith(made[0])
+    context.getCheckpointDir = lambda: "hdfs://shared/"
+    assert scratch_path(session, "x").startswith("hdfs://shared/x-") and len(made) == 1
+    session.conf.get = lambda name, default: "s3://named"
+    assert scratch_path(session, "x").startswith("s3://named/x-")
+
+
 def test_stored_order(spark, tmp_path):
     path = str(tmp_path / "stored")
     apps(spark).repartitionByRange(5, "application_number").sortWithinPartitions(
