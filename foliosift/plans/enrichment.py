@@ -58,11 +58,11 @@ def enriched(apps, listings, payloads, everything=True):
     """
     references = xml_references(listed_documents(listings))
     if not everything:
-        wanted = apps.select("application_number")
+        wanted = written(apps.select("application_number").distinct(), "wanted")
         references = references.join(wanted, "application_number", "left_semi")
     references = written(references, "references")
     if not everything:
-        payloads = payloads.join(references.select("url"), "url", "left_semi")
+        payloads = payloads.join(references.select("url").distinct(), "url", "left_semi")
     pieces = written(piece_texts(payload_documents(spread(payloads, "url"))), "pieces")
     files = written(file_texts(pieces), "files")
     return attached(apps, written(application_texts(references, files), "texts")), pieces

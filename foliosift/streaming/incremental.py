@@ -2,10 +2,16 @@
 
 from pyspark.sql import functions as F
 
+from foliosift.session import written
+
 
 def pending(apps, done, key="application_number"):
-    """Applications that have no row in ``done`` yet."""
-    finished = done.select(F.col(key).alias("_done"))
+    """Applications that have no row in ``done`` yet.
+
+    Finished keys are reduced to one row each and stored, so repeated keys cost nothing
+    in the join and AQE can split a key that many applications share.
+    """
+    finished = written(done.select(F.col(key).alias("_done")).distinct(), "done")
     return apps.join(finished, F.col(key) == F.col("_done"), "left_anti")
 
 
