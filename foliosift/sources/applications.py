@@ -33,11 +33,10 @@ def flattened(records, nested):
     inner = records.schema[nested].dataType.names
     outer = [name for name in records.columns if name != nested]
     kept = [F.col(name) for name in outer if name not in inner]
-    lifted = [
-        (F.coalesce(F.col(f"{nested}.{name}"), F.col(name)) if name in outer else F.col(f"{nested}.{name}")).alias(name)
-        for name in inner
-    ]
-    return records.select(*kept, *lifted)
+    for name in inner:
+        value = F.col(f"{nested}.{name}")
+        kept.append((F.coalesce(value, F.col(name)) if name in outer else value).alias(name))
+    return records.select(*kept)
 
 
 def application_rows(records, with_type=False):

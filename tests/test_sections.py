@@ -4,7 +4,7 @@ import pytest
 from foliosift import fixed_values as V
 from foliosift.functions.nodes import document_code
 from foliosift.operators.documents import document_nodes, node_rows, payload_documents
-from foliosift.operators.sections import BROKEN_ID, indexed, with_abstract, with_spec_sections
+from foliosift.operators.sections import BROKEN_ID, indexed, with_spec_sections
 from foliosift.plans.enrichment import piece_texts, quarantined
 from xml_text import START, document, element, heading, paragraph, words
 
