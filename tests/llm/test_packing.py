@@ -1,0 +1,82 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from cases import documents, empty, given
+from foliosift.llm.packing import Packer, WordIds, op2_packing, pack_documents
+from tokenizers import Tokenizer
+
+TOKENIZER = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def ids_of(text):
+    return [*TOKENIZER.encode(text or "", add_special_tokens=False).ids, 1]
+
+
+def checked(pieces, pairs, length=2048):
+    """Every id lies in one piece, every sequence is gapless; share of padding."""
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        by_doc[p.doc_id].append(p)
+        by_sequence[p.sequence_id].append(p)
+    want = {i: ids_of(t) for i, t in pairs}
+    assert set(by_doc) == set(want)
+    for i, parts in by_doc.items():
+        at = 0
+        for p in sorted(parts, key=lambda p: p.start):
+            piece = want[i][p.start : p.start + p.length]
+            assert p.start == at and p.length == len(piece) > 0
+            assert p.ids_crc32 == zlib.crc32(np.array(piece, "<u4").tobytes())
+            assert p.doc_tokens == len(want[i])
+            at += p.length
+        assert at == len(want[i])
+    padding = 0
+    for parts in by_sequence.values():
+        at = 0
+        for p in sorted(parts, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= length and {p.sequence_tokens for p in parts} == {at}
+        padding += 0 if at & (at - 1) == 0 else length - at
+    return padding / sum(map(len, want.values()))
+
+
+def test_given_documents(spark, small):
+    pairs = [(r["doc_id"], r["text"]) for r in given(small, "documents")]
+    assert checked(op2_packing(spark, small).collect(), pairs) < 0.01
+
+
+def test_awkward_rows(spark):
+    texts = [None, "", " \n\t ", "One two, THREE.", "a<|endoftext|>b Ünï", "x y\x85z\x1cw"]
+    texts += ["word " * 9000, "é" * 300, "don't 123 'll", "é ́"]
+    pairs = list(enumerate(texts))
+    checked(pack_documents(documents(spark, pairs)).collect(), pairs)
+    assert pack_documents(empty(spark)).count() == 0
+    twice = pack_documents(documents(spark, [(1, "a b c"), (1, "a b c"), (None, "d")])).collect()
+    assert sum(p.length for p in twice) == 2 * 4 + 2
+
+
+def test_ids_are_those_of_whole_texts(small):
+    texts = [r["text"] for r in given(small, "documents")]
+    found = WordIds(public_tokenizers.path("word_bpe_49k.json"), cache_words=50)
+    for start in range(0, len(texts), 20):
+        part = [t.encode() for t in texts[start : start + 20]]
+        got = [np.frombuffer(x, "<u4").tolist() for x in found.encode_all(part)]
+        assert got == [ids_of(t)[:-1] for t in texts[start : start + 20]]
+
+
+@pytest.mark.parametrize("segments, loss", [(3, 2048), (128, 700), (1, 50)])
+def test_limits_hold_together(segments, loss):
+    packer = Packer(2048, segments, loss, lambda n: np.asarray(n) * 0.5)
+    lengths = np.random.default_rng(1).integers(1, 3000, 200)
+    placed = np.zeros(200, int)
+    for made in packer.pack(lengths, finish=True):
+        assert len(made) <= segments
+        assert sum(n for *_, n in made) <= 2048
+        assert sum(n * 0.5 for *_, n in made) <= loss + 1e-6
+        for document, start, n in made:
+            assert start == placed[document]
+            placed[document] += n
+    assert (placed == lengths).all()
