@@ -19,7 +19,7 @@ LABELLED_ROWS = 12_000
 BUCKETS = 1 << 18
 PREFIXES = (4, 5, 6)
 FOLDS = 3
-REGULARISATION, ITERATIONS = 2e-4, 40
+REGULARISATION, ITERATIONS = 1e-4, 40
 THRESHOLD = 0.5
 CACHE_WORDS = 300_000
 
@@ -74,12 +74,19 @@ def labelled_rows(docs, labels, key, text, categories, most):
     return rows.mapInArrow(read, f"key {kind}, {fields}, features array<long>")
 
 
+def dense(features, earlier):
+    """Two measures of length, as long texts gather weight by chance, and earlier results."""
+    n = len(features)
+    return [np.log1p(n) / 3, np.sqrt(n) / 30, *earlier]
+
+
 def vector(size):
-    """Sparse vector of the features, followed by the earlier probabilities."""
+    """Sparse vector of the features, followed by the dense ones."""
 
     def make(features, earlier):
-        places = [*map(int, features), *range(BUCKETS, BUCKETS + len(earlier))]
-        return Vectors.sparse(size, places, [1.0] * len(features) + list(earlier))
+        tail = [float(x) for x in dense(features, earlier)]
+        places = [*map(int, features), *range(BUCKETS, size)]
+        return Vectors.sparse(size, places, [1.0] * len(features) + tail)
 
     return F.udf(make, VectorUDT())
 
@@ -99,7 +106,7 @@ def fitted(rows, label, size):
 
 def probability(weights, features, earlier):
     w, bias = weights
-    z = bias + w[features].sum() + w[BUCKETS:] @ np.asarray(earlier, np.float64)
+    z = bias + w[features].sum() + w[BUCKETS:] @ np.array(dense(features, earlier))
     return float(1 / (1 + np.exp(-np.clip(z, -60, 60))))
 
 
@@ -131,7 +138,7 @@ def fitted_chain(docs, labels, key="doc_id", text="text", categories=CATEGORIES,
     rows = rows.select("*", fold.alias("fold"), F.array().cast("array<double>").alias("earlier"))
     chain = []
     for i in range(len(categories)):
-        size = BUCKETS + i
+        size = BUCKETS + 2 + i
         ready = rows.withColumn("x", vector(size)("features", "earlier"))
         ready = ready.select("fold", f"y{i}", "x").persist()
         chain.append(fitted(ready, f"y{i}", size))

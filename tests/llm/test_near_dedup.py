@@ -1,0 +1,97 @@
+import random
+
+import numpy as np
+from cases import documents, empty, given, rows
+from foliosift.llm.near_dedup import (
+    components, near_duplicates, one_of_each, op6_near_dedup, shingle_set,
+)
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    n = min(5, len(words))
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
+
+
+def plain(pairs):
+    sets = [shingles(t) for _, t in pairs]
+    root = {i: i for i, _ in pairs if i is not None}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for x, (i, _) in enumerate(pairs):
+        for y in range(x):
+            j = pairs[y][0]
+            if i is None or j is None or not sets[x] or not sets[y]:
+                continue
+            if 100 * len(sets[x] & sets[y]) >= 85 * len(sets[x] | sets[y]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return sorted(
+        (
+            (i, len(s), None if i is None else find(i), i is None or find(i) == i)
+            for (i, _), s in zip(pairs, sets, strict=True)
+        ),
+        key=repr,
+    )
+
+
+NAMES = ["doc_id", "n_shingles", "component_id", "kept"]
+
+
+def test_awkward_rows(spark):
+    choose = random.Random(1)
+    make = lambda n: [choose.choice("abcdefghij") * 3 + str(choose.randint(0, 99)) for _ in range(n)]
+    pairs = [(900, None), (901, ""), (902, " \n"), (903, "One Two"), (904, "one  two"), (905, "one")]
+    base = make(200)
+    pairs += [(i, " ".join(base)) for i in range(100, 112)]  # copies
+    for i in range(40):  # near copies, some of them out of reach of the first
+        words = list(base)
+        for _ in range(choose.randint(0, 9)):
+            words[choose.randrange(200)] = "changed" + str(choose.randint(0, 9))
+        pairs.append((200 + i, " ".join(words)))
+    walk = make(300)
+    for i in range(25):  # a chain: neighbours are linked, ends are not
+        walk[(i * 11) % 300] = f"step{i}"
+        pairs.append((399 - i, " ".join(walk)))
+    template = make(150)
+    for i in range(30):  # one bucket, few links
+        pairs.append((500 + i, " ".join(template + make(30))))
+    pairs += [(600, " ".join(make(3000)))] * 2 + [(None, " ".join(base)), (None, " ".join(base))]
+    pairs += [(700, " ".join(base)), (700, " ".join(template))]  # two texts of one document
+    pairs += [(701, " ".join(template))]
+    choose.shuffle(pairs)
+    got = near_duplicates(documents(spark, pairs))
+    assert rows(got, *NAMES) == plain(pairs)
+    kept = one_of_each(documents(spark, pairs))
+    gone = {i for i, _, _, k in plain(pairs) if not k}
+    want = sorted(i for i, _ in pairs if i is not None and i not in gone)
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == want
+    assert kept.filter("doc_id is null").count() == 2
+
+
+def test_empty(spark):
+    assert near_duplicates(empty(spark)).count() == 0
+
+
+def test_sets_are_exact():
+    data = b"A b c d e f A B C D E x"
+    assert len(shingle_set(data)) == len(shingles(data.decode()))
+    same = np.intersect1d(shingle_set(b"A B c d e"), shingle_set(b"a b C D E"))
+    assert len(same) == 1
+
+
+def test_components_of_long_chains(spark):
+    links = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 100), (7, 7), (102, 101)]
+    got = components(spark.createDataFrame(links, "a long, b long"))
+    assert rows(got, "key", "component") == sorted(
+        [(i, 0) for i in range(61)] + [(i, 100) for i in (100, 101, 102)], key=repr
+    )
+
+
+def test_given_documents(spark, small):
+    pairs = [(r["doc_id"], r["text"]) for r in given(small, "documents")]
+    assert rows(op6_near_dedup(spark, small), *NAMES) == plain(pairs)
