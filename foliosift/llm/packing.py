@@ -1,6 +1,7 @@
 """Packing: token pieces into sequences under several limits at once."""
 
 import functools
+import re
 import zlib
 
 import numpy as np
@@ -19,7 +20,9 @@ MIN_PIECE = 8
 # Tokens that are held and placed together.
 BLOCK_TOKENS = 2_000_000
 # Words whose ids a Python worker remembers.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_200_000
+# ASCII letters with other marks behind them: the tokenizer lowers and splits these.
+PLAIN = re.compile(r"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
 COLUMNS = (
     "key {}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
     "offset long, sequence_tokens long"
@@ -41,15 +44,25 @@ class WordIds:
         self.cache, self.cache_words = {}, cache_words
 
     def learn(self, words):
+        """Ids of new words; plain ones as those of their letters and of their marks."""
+        plain = [(word, m) for word in words if (m := PLAIN.fullmatch(word))]
+        parts = {p for _, m in plain for p in (m[1].lower(), m[2])}
+        whole = words - {word for word, _ in plain}
+        self.ask((parts | whole) - self.cache.keys())
+        ids = self.cache
+        for word, m in plain:
+            ids[word] = ids[m[1].lower()] + ids[m[2]]
+
+    def ask(self, words):
         words = list(words)
-        text = "\n".join(words)
-        code = self.tokenizer.encode(text, add_special_tokens=False)
-        ids = np.array(code.ids, "<u4")
+        code = self.tokenizer.encode("\n".join(words), add_special_tokens=False)
+        ids = np.array(code.ids, "<u4").tobytes()
         starts = np.array([start for start, _ in code.offsets], np.int64)
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        cuts = [0, *np.searchsorted(starts, ends).tolist()]
-        for i, word in enumerate(words):
-            self.cache[word] = ids[cuts[i] : cuts[i + 1]].tobytes()
+        at = 0
+        for word, end in zip(words, (4 * np.searchsorted(starts, ends)).tolist(), strict=True):
+            self.cache[word] = ids[at:end]
+            at = end
 
     def encode_all(self, blocks):
         """Ids of each text as little-endian 32-bit numbers."""
