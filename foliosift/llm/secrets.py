@@ -24,9 +24,14 @@ CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{20,}")
 DIGEST = re.compile(rb"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}"
                     rb"|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})")
 UUID = re.compile(rb"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+PART = re.compile(rb"[^+/_=-]+")
+KNOWN_INSIDE = re.compile(rb"(?<![^/=_-])(?:" + UUID.pattern + rb"|" + DIGEST.pattern + rb")(?![^/=_-])")
 WORDS = re.compile(rb"[+/_=-]*(?:(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)(?:[+/_=-]+|\Z))+")
 VOCABULARY = "byte_bpe_50k.tiktoken"
 MAX_CHARS_PER_TOKEN = 2.0
+MIN_RANDOM = 20
+# Bytes that the vocabulary is asked about at a time.
+ENCODED = 4096
 
 COLUMNS = "key {}, n_assign long, n_access long, n_hex long, n_token long, base string, spans string"
 
@@ -45,9 +50,27 @@ def encoding(path):
     )
 
 
-def is_known(word):
-    """Digests, identifiers, numbers and words joined by marks or by case."""
-    return bool(DIGEST.fullmatch(word) or UUID.fullmatch(word) or WORDS.fullmatch(word))
+def token_count(word, vocabulary):
+    encode = encoding(vocabulary).encode_ordinary
+    text = word.decode()
+    return sum(len(encode(text[i : i + ENCODED])) for i in range(0, len(text), ENCODED))
+
+
+def surplus(part, vocabulary, most):
+    """Characters that the tokens of a part fall short of; none for words and numbers."""
+    tokens = token_count(part, vocabulary)
+    if part.isdigit() or tokens == 1:
+        return min(-1, most * tokens - len(part))
+    return most * tokens - len(part)
+
+
+def is_known(word, vocabulary=VOCABULARY, most=MAX_CHARS_PER_TOKEN):
+    """Digests, UUIDs, and identifiers whose parts are all numbers or tokenise as words."""
+    if DIGEST.fullmatch(word) or UUID.fullmatch(word):
+        return True
+    if not WORDS.fullmatch(word):
+        return False
+    return all(surplus(part, vocabulary, most) <= 0 for part in PART.findall(word))
 
 
 def base_spans(data):
@@ -66,15 +89,49 @@ def base_spans(data):
     return found
 
 
+def random_stretches(word, vocabulary, most):
+    """(start, end) of stretches of parts that have too many tokens, in one pass.
+
+    A part that tokenises as words lowers the sum of its stretch; a stretch ends where the
+    sum falls below zero, and reaches up to its highest sum. Digests and UUIDs between marks
+    separate stretches.
+    """
+    known = [m.span() for m in KNOWN_INSIDE.finditer(word)]
+    parts, at = [], 0
+    for m in PART.finditer(word):
+        while at < len(known) and known[at][1] <= m.start():
+            at += 1
+        inside = at < len(known) and known[at][0] <= m.start()
+        parts.append((m.start(), m.end(), None if inside else surplus(m.group(), vocabulary, most)))
+    start, end, total, best = None, 0, 0, 0
+    for first, last, extra in [*parts, (0, 0, None)]:
+        if extra is None or total + extra < 0:
+            if best > 0 and end - start >= MIN_RANDOM:
+                yield start, end
+            start, total, best = None, 0, 0
+            continue
+        if start is None:
+            start = first
+        total += extra
+        if total >= best:
+            best, end = total, last
+
+
 def random_spans(data, vocabulary, most=MAX_CHARS_PER_TOKEN):
-    """(start, kind, end) of long strings with few characters for each token."""
+    """(start, kind, end) of long strings with few characters for each token.
+
+    Where a whole run has enough characters for each token, its parts between marks are
+    tested, alone and with their neighbours.
+    """
     for m in CANDIDATE.finditer(data):
         word = m.group()
-        if is_known(word):
+        if is_known(word, vocabulary, most):
             continue
-        tokens = len(encoding(vocabulary).encode_ordinary(word.decode()))
-        if len(word) < most * tokens:
+        if len(word) < most * token_count(word, vocabulary):
             yield (m.start(), 3, m.end())
+        else:
+            for start, end in random_stretches(word, vocabulary, most):
+                yield (m.start() + start, 3, m.start() + end)
 
 
 def spelled(data, spans):
@@ -98,8 +155,9 @@ def find_secrets(
 
     Base patterns: assignments, access keys and hexadecimal runs. The token test adds runs
     of at least 20 characters that take a token for fewer than ``max_chars_per_token``
-    characters, unless they are digests, identifiers, numbers or joined words. It looks at
-    single runs, so a text costs no more than one scan. No shuffle.
+    characters, unless they are digests, UUIDs, numbers, or identifiers whose parts tokenise
+    as words. In a longer run the stretches of its parts between marks are tested as well. It
+    looks at single runs, so a text costs no more than one scan. No shuffle.
 
     A null or empty text has no spans (empty strings, zero counts); a null key stays null.
     Rows are independent: repeated rows repeat their result, and only ``key`` and the

@@ -57,6 +57,26 @@ def test_random_strings_are_found(spark):
     assert all("token" not in got[i] for i in range(50, len(pairs)))
 
 
+def test_random_parts_and_words_are_found(spark):
+    choose = random.Random(4)
+    make = lambda letters, n: "".join(choose.choices(letters, k=n))
+    both = string.ascii_letters + string.digits
+    kinds = [
+        lambda: make(string.ascii_lowercase, 32), lambda: make(string.ascii_uppercase, 32),
+        lambda: "-".join(make(string.ascii_lowercase, 4) for _ in range(5)),
+        lambda: "services/production/database/connection/" + make(both, 32),
+        lambda: "service/webhook/incoming/account/" + make(both, 24),
+    ]
+    secrets = [kind() for kind in kinds for _ in range(100)]
+    got = {r.doc_id: r.n_token for r in find_secrets(documents(spark, enumerate(secrets))).collect()}
+    for k in range(len(kinds)):
+        assert sum(got[i] > 0 for i in range(100 * k, 100 * k + 100)) >= 90
+    harmless = ["a_b_c_d_e_f_g_h_i_j_k_l", "services/production/database/connection",
+                "backup-2024-01-15-12-30-45"]
+    found = find_secrets(documents(spark, enumerate(harmless)))
+    assert all(r.n_token == 0 for r in found.collect())
+
+
 def test_given_documents(spark, small):
     got = op3_secret_scan(spark, small)
     want = []
