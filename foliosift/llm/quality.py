@@ -8,15 +8,19 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from foliosift.llm.common import byte_texts, code_points, name_of, row_batches, texts
+from foliosift.session import written
 
 SYMBOLS = re.compile(rb"[#*$%&|<>]")
 REPEAT_WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED = 0.30
 GRAM, BUCKETS = 4, 1 << 16
-# Rows of the trusted sample at most, and the share of it that may fail the threshold.
-TRUSTED_ROWS = 20_000
-TRUSTED_LOSS = 0.001
+# Share of the trusted rows that pass the rules and may fail the threshold, and the least
+# number of them of which one may fail in any case: a single odd row sets no threshold.
+TRUSTED_LOSS = 0.01
+FEW_ROWS = 20
+# Steps of a unit of the mean log ratio that the threshold is set by.
+STEPS = 10_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -74,41 +78,51 @@ def grams(data, width=GRAM, buckets=BUCKETS):
     return (windows_hashed(codes, width) * MIX >> np.uint64(48)).astype(np.int64) % buckets
 
 
-def trusted_keys(labels, key, label, most):
-    """Keys of at most ``most`` trusted rows, those of the smallest hashes."""
+def trusted_keys(labels, key, label):
+    """Keys of the trusted rows."""
     chosen = labels.filter((name_of(label) == 1) & name_of(key).isNotNull())
-    chosen = chosen.select(name_of(key).alias("key")).distinct()
-    return chosen.orderBy(F.xxhash64("key"), "key").limit(most)
+    return chosen.select(name_of(key).alias("key")).distinct()
 
 
 def gram_counts(rows, buckets):
-    """Counts of buckets over all ``rows``, of all and of the trusted ones.
+    """Counts of buckets over all ``rows``.
 
-    Each task adds up its rows first, so it sends two numbers for each bucket.
+    Each task adds up its rows first, so it sends one number for each bucket.
     """
 
     def count(batches):
-        total = np.zeros((2, buckets), np.int64)
+        total = np.zeros(buckets, np.int64)
         for batch in row_batches(batches):
-            trusted = batch.column("trusted").to_pylist()
-            for data, good in zip(byte_texts(batch), trusted, strict=True):
-                found = np.bincount(grams(data, buckets=buckets), minlength=buckets)
-                total[0] += found
-                if good:
-                    total[1] += found
+            for data in byte_texts(batch):
+                total += np.bincount(grams(data, buckets=buckets), minlength=buckets)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(buckets)), pa.array(total[0]), pa.array(total[1])],
-            ["bucket", "raw", "target"],
+            [pa.array(np.arange(buckets)), pa.array(total)], ["bucket", "n"]
         )
 
-    counts = rows.mapInArrow(count, "bucket long, raw long, target long")
-    got = counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-    out = np.zeros((2, buckets))
-    for row in got.collect():  # one row for each bucket
-        out[:, row["bucket"]] = row["raw"], row["target"]
+    counts = rows.select("text").mapInArrow(count, "bucket long, n long")
+    out = np.zeros(buckets)
+    for row in counts.groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # one a bucket
+        out[row["bucket"]] = row["n"]
     return out
 
 
+def lower_bound(scores, loss):
+    """Bound that a share ``loss`` of the numbers ``llr`` lies below, in 1 / STEPS.
+
+    The driver gets one count for each step in use, whose number the range of log ratios
+    bounds, and the same numbers give the same bound.
+    """
+    step = F.floor(F.col("llr") * STEPS).alias("step")
+    counts = scores.filter("llr is not null").groupBy(step).count().collect()
+    total = sum(row["count"] for row in counts)
+    before = max(int(total * loss), min(1, total // FEW_ROWS))
+    for row in sorted(counts):
+        if before < row["count"]:
+            return row["step"] / STEPS
+        before -= row["count"]
+    return float("-inf")
+
+
 def log_ratio(counts):
     """log p(target) - log p(raw) of each bucket, both smoothed by one."""
     p = (counts + 1) / (counts + 1).sum(axis=1, keepdims=True)
@@ -116,42 +130,34 @@ def log_ratio(counts):
 
 
 def quality(
-    docs, labels, key="doc_id", text="text", label="quality", trusted_rows=TRUSTED_ROWS,
-    trusted_loss=TRUSTED_LOSS, buckets=BUCKETS,
+    docs, labels, key="doc_id", text="text", label="quality", trusted_loss=TRUSTED_LOSS,
+    buckets=BUCKETS,
 ):
     """Rules and the n-gram verdict for each document.
 
     Two multinomials over hashed n-grams, one of trusted rows and one of all rows, give
-    each document its mean log ratio ``llr``. The raw counts cover every document; the
-    trusted ones a sample of at most ``trusted_rows`` labelled rows, chosen by hash, which
-    is joined by broadcast. ``kept`` is false if a rule fails or ``llr`` lies below the
-    ``trusted_loss`` quantile of the trusted rows: equal input, equal verdict. No shuffle
-    of texts; the driver gets ``buckets`` rows and one number for each trusted row.
+    each document its mean log ratio ``llr``. The raw counts cover every document, the
+    trusted ones every document that is labelled so, found by a join. ``kept`` is false if
+    a rule fails or ``llr`` lies below the ``trusted_loss`` quantile of the trusted rows
+    that pass the rules, the same quantile at every size: equal input, equal verdict. Rules
+    and ratios are stored once; the driver gets counts of buckets and of steps of ``llr``.
 
     A null or empty text has zero counts, a null ``llr`` and fails the rules; repeated rows
     repeat their result; a null key stays. Without trusted rows the ratio decides nothing.
     Only ``key`` and results come back, so other columns cannot clash.
     """
     kind = docs.schema[key].dataType.simpleString()
-    good = trusted_keys(labels, key, label, trusted_rows).withColumn("trusted", F.lit(True))
-    # At most trusted_rows keys: a size known whatever the label table holds.
-    rows = texts(docs, key, text).join(F.broadcast(good), "key", "left")
-    spark = docs.sparkSession
-    ratio = spark.sparkContext.broadcast(log_ratio(gram_counts(rows, buckets)))
+    good = trusted_keys(labels, key, label)
+    rows = texts(docs, key, text)
+    # The same join at every size of the label table.
+    trusted = rows.join(good.hint("merge"), "key", "left_semi")
+    counts = np.stack([gram_counts(rows, buckets), gram_counts(trusted, buckets)])
+    ratio = docs.sparkSession.sparkContext.broadcast(log_ratio(counts))
 
     def mean_ratio(data):
         found = grams(data, buckets=buckets)
         return float(ratio.value[found].mean()) if len(found) else None
 
-    def ratios(batches):
-        for batch in row_batches(batches):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([mean_ratio(d) for d in byte_texts(batch)], pa.float64())], ["llr"]
-            )
-
-    trusted = rows.filter("trusted").select("key", "text").mapInArrow(ratios, "llr double")
-    seen = np.sort([r["llr"] for r in trusted.collect() if r["llr"] is not None])
-    least = float(seen[int(len(seen) * trusted_loss)]) if len(seen) else float("-inf")
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def judge(batches):
@@ -164,12 +170,14 @@ def quality(
             )
 
     fields = ", ".join(f"{n} long" for n in names)
-    found = texts(docs, key, text).mapInArrow(judge, f"key {kind}, {fields}, llr double")
+    found = rows.mapInArrow(judge, f"key {kind}, {fields}, llr double")
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > round(100 * MAX_REPEATED) * F.col("n_words")
     )
-    below = F.coalesce(F.col("llr") < F.lit(least), F.lit(False))
-    found = found.withColumns({"base_failed": failed, "kept": ~failed & ~below})
+    found = written(found.withColumn("base_failed", failed), "quality")
+    sound = found.filter("not base_failed").select("key", "llr").join(good, "key", "left_semi")
+    below = F.coalesce(F.col("llr") < F.lit(lower_bound(sound, trusted_loss)), F.lit(False))
+    found = found.withColumn("kept", ~F.col("base_failed") & ~below)
     return found.withColumnRenamed("key", key)
 
 

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -47,3 +48,15 @@ def test_awkward_rows(spark):
     check(quality(documents(spark, pairs), labels).drop("llr").collect(), pairs)
     check(quality(documents(spark, pairs), labels.limit(0)).drop("llr").collect(), pairs)
     assert quality(empty(spark), labels).count() == 0
+
+
+def test_one_odd_trusted_row_does_not_set_the_threshold(spark):
+    choose = random.Random(2)
+    make = lambda letters: " ".join("".join(choose.choices(letters, k=5)) for _ in range(60))
+    good, bad = [make("abcdefg") for _ in range(60)], [make("qrstuvwxyz") for _ in range(40)]
+    pairs = list(enumerate([*good, *bad, "qrstu " * 30]))
+    # Two odd rows are trusted: one like the bad, one that the rules reject.
+    trusted = [*range(60), 60, 100]
+    labels = spark.createDataFrame([(i, 1) for i in trusted], "doc_id long, quality int")
+    kept = {r.doc_id for r in quality(documents(spark, pairs), labels).collect() if r.kept}
+    assert kept == set(range(60))
