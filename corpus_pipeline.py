@@ -7,6 +7,9 @@ from foliosift.llm.packing import pack_documents
 from foliosift.llm.toxicity import toxicity
 from foliosift.session import scratch_path
 
+# Near duplicates of the corpus: 100 * intersection >= NEAR_PERCENT * union.
+NEAR_PERCENT = 80
+
 
 def clean_documents(spark, docs, sf_dir):
     """Documents that the toxicity chain does not reject."""
@@ -21,7 +24,7 @@ def unrepeated_lines(spark, docs, sf_dir):
 
 def distinct_documents(spark, docs, sf_dir):
     """One document of each group of near duplicates."""
-    return one_of_each(docs).select(*docs.columns)
+    return one_of_each(docs, percent=NEAR_PERCENT).select(*docs.columns)
 
 
 def unseen_documents(spark, docs, sf_dir):

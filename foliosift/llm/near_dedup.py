@@ -10,11 +10,12 @@ from foliosift.session import written
 SHINGLE = 5
 # Links: 100 * intersection >= PERCENT * union.
 PERCENT = 85
-BANDS, BAND_ROWS = 26, 5
-HASHES = BANDS * BAND_ROWS
-# Signatures that agree in a smaller share of places are dropped before the exact test.
-# At similarity 0.85 the share is 0.85 with a deviation of 0.031.
-LEAST_AGREEMENT = 0.65
+HASHES, MOST_BAND_ROWS = 130, 5
+# Share of the pairs at the threshold that may be in no common bucket.
+MOST_MISSED = 1e-6
+# Signatures that agree in fewer places are dropped before the exact test: so many
+# deviations below the share of the threshold, 0.65 for 0.85.
+DEVIATIONS = 6.39
 MIX = np.uint64(0x9E3779B97F4A7C15)
 STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -25,6 +26,24 @@ def mixed(x):
     return x ^ (x >> np.uint64(29))
 
 
+def bands_of(percent):
+    """(bands, rows of a band) that reach pairs of similarity ``percent`` / 100."""
+    share = percent / 100
+    if share > 1:
+        raise ValueError(f"percent is {percent}; no pair is so similar")
+    for rows in range(MOST_BAND_ROWS, 0, -1):
+        bands = HASHES // rows
+        if (1 - share**rows) ** bands <= MOST_MISSED:
+            return bands, rows
+    raise ValueError(f"{HASHES} hashes do not find pairs of {percent} percent")
+
+
+def least_agreement(percent):
+    """Places in which the signatures of a pair to be tested agree at least."""
+    share = percent / 100
+    return int(HASHES * (share - DEVIATIONS * (share * (1 - share) / HASHES) ** 0.5))
+
+
 def shingle_set(data, width=SHINGLE):
     """Sorted distinct 64-bit fingerprints of the word shingles of a text."""
     import xxhash
@@ -58,13 +77,14 @@ def minima(shingles, a, b):
     return low >> np.uint64(32)
 
 
-def signatures(rows, shingle=SHINGLE):
+def signatures(rows, shingle=SHINGLE, percent=PERCENT):
     """(node, n, d1, d2, bands, signature) of each text.
 
     d1 and d2 identify the set; ``bands`` holds one fingerprint a band; ``signature`` has 16
     bits of each minimum.
     """
     a, b = coefficients(HASHES)
+    n_bands, band_rows = bands_of(percent)
 
     def sign(batches):
         for batch in row_batches(batches):
@@ -79,8 +99,8 @@ def signatures(rows, shingle=SHINGLE):
                     signature.append([])
                     continue
                 low = minima(found, a, b)
-                hashed = np.zeros(BANDS, np.uint64)
-                for column in low.reshape(BANDS, BAND_ROWS).T:
+                hashed = np.zeros(n_bands, np.uint64)
+                for column in low[: n_bands * band_rows].reshape(n_bands, band_rows).T:
                     hashed = mixed(hashed * MIX + column)
                 bands.append(hashed.view(np.int64))
                 signature.append((low & np.uint64(0xFFFF)).astype(np.int16))
@@ -112,7 +132,7 @@ def verified(pairs, stored_texts, stored_signatures, percent=PERCENT, shingle=SH
     sign_b = stored_signatures.select(F.col("key").alias("b"), F.col("signature").alias("sb"))
     agree = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda same: same))
     near = pairs.join(sign_a, "a").join(sign_b, "b")
-    near = near.filter(agree >= int(LEAST_AGREEMENT * HASHES)).select("a", "b")
+    near = near.filter(agree >= least_agreement(percent)).select("a", "b")
     near = written(near, "near")
     text_a = stored_texts.select(F.col("key").alias("a"), F.col("text").alias("ta"))
     text_b = stored_texts.select(F.col("key").alias("b"), F.col("text").alias("tb"))
@@ -181,8 +201,10 @@ def near_duplicates(docs, key="doc_id", text="text", percent=PERCENT, shingle=SH
     of a group: each class with the smallest class of its buckets; then, where a bucket still
     holds several components, its classes with its smallest one; then the classes of
     different components that still share a bucket, all of them. Every candidate passes the
-    signature and the full sets before it counts. A pair of similarity 0.85 shares no bucket
-    with a probability of 2.4e-7; no step caps or samples.
+    signature and the full sets before it counts. Bands and
+    signature test follow ``percent``: a pair at the threshold shares no bucket with a
+    probability of 1e-6 at most, 2.4e-7 for 85; values that the hashes do not reach are
+    refused. No step caps or samples.
 
     Texts without words have the empty set and are linked with nothing. Rows of one key are
     one document: each of its texts is compared, and all are linked. A null key is linked
@@ -192,7 +214,7 @@ def near_duplicates(docs, key="doc_id", text="text", percent=PERCENT, shingle=SH
     base = texts(docs, key, text)
     node = F.struct("key", F.xxhash64("text").alias("own"))
     base = base.select(node.alias("node"), "text")
-    signed = written(signatures(base, shingle), "signed")
+    signed = written(signatures(base, shingle, percent), "signed")
     usable = signed.filter("n > 0 and node.key is not null")
     classes = usable.groupBy("d1", "d2", "n").agg(F.min("node").alias("class"))
     classes = written(classes, "classes")
@@ -280,12 +302,13 @@ def cross_pairs(members):
     return pairs.select("a", "b")
 
 
-def one_of_each(docs, key="doc_id", text="text"):
+def one_of_each(docs, key="doc_id", text="text", percent=PERCENT):
     """``docs`` without the rows that another document of their component stands for.
 
     Rows without key or words stay.
     """
-    gone = near_duplicates(docs, key, text).filter("not kept").select(F.col(key).alias("_gone"))
+    found = near_duplicates(docs, key, text, percent)
+    gone = found.filter("not kept").select(F.col(key).alias("_gone"))
     gone = written(gone.distinct(), "gone")
     return docs.join(gone, name_of(key) == F.col("_gone"), "left_anti")
 

@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pytest
 from cases import documents, empty, given, rows
+from corpus_pipeline import distinct_documents
 from foliosift.llm.near_dedup import (
-    components, near_duplicates, one_of_each, op6_near_dedup, shingle_set,
+    bands_of, components, least_agreement, near_duplicates, one_of_each, op6_near_dedup, shingle_set,
 )
 
 
@@ -95,3 +97,31 @@ def test_components_of_long_chains(spark):
 def test_given_documents(spark, small):
     pairs = [(r["doc_id"], r["text"]) for r in given(small, "documents")]
     assert rows(op6_near_dedup(spark, small), *NAMES) == plain(pairs)
+
+
+def changed(count, pairs):
+    """Texts of 196 shingles, each beside a copy with ``count`` changed words."""
+    out = []
+    for n in range(pairs):
+        words = [f"w{n}x{i}" for i in range(200)]
+        out.append((2 * n, " ".join(words)))
+        for i in range(count):
+            words[10 + 20 * i] = "new"
+        out.append((2 * n + 1, " ".join(words)))
+    return out
+
+
+def test_the_stage_takes_pairs_from_80_percent(spark):
+    docs = documents(spark, changed(4, 20))  # 176 / 216
+    assert sorted(r.doc_id for r in distinct_documents(spark, docs, None).collect()) == [*range(0, 40, 2)]
+    assert one_of_each(docs).count() == 40
+    apart = documents(spark, changed(5, 5))  # 171 / 221
+    assert distinct_documents(spark, apart, None).count() == 10
+
+
+def test_bands_follow_percent(spark):
+    assert bands_of(85) == (26, 5) and least_agreement(85) == 84
+    assert one_of_each(documents(spark, changed(6, 100)), percent=70).count() == 100  # 166 / 226
+    for percent in (5, 101):
+        with pytest.raises(ValueError, match="percent"):
+            bands_of(percent)
