@@ -268,6 +268,23 @@ ORACLES = {
         select page // 100 as bucket, page, count(*) as n_rows,
                max(application_number) as last_application_number
         from paged group by page""",
+    "deep_page": f"""{WITH_APPS}, ranked as (
+            select *, row_number() over
+                (order by filing_date desc, status_code, application_number) - 1 as position
+            from apps
+        )
+        select filing_date, status_code, application_number from ranked,
+            (select count(*) // 2 // 100 as middle from apps)
+        where position // 100 in (middle, middle + 1)""",
+    "page_slice": """
+        with ranked as (
+            select o_orderkey as application_number, o_orderstatus, row_number() over
+                (order by o_orderkey % 2, o_orderkey) - 1 as position, count(*) over () as n
+            from orders
+        )
+        select application_number, o_orderstatus, position, position // 50 as page,
+               position // 500 as bucket
+        from ranked where position // 50 in (n // 100 - 1, n // 100)""",
     "stored_order_pages": """
         with numbered as (select (row_number() over () - 1) // 50 as page from orders)
         select page // 10 as bucket, count(*) as n_rows, count(distinct page) as n_pages

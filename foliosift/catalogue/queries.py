@@ -23,11 +23,14 @@ from foliosift.operators.documents import (
     split_payloads,
 )
 from foliosift.operators.facets import facet_counts
+from foliosift.operators.ordering import numbered
 from foliosift.operators.paging import (
+    cursor_after,
     in_stored_order,
-    numbered,
     page,
+    page_after,
     page_summary,
+    pages_between,
     with_pages,
 )
 from foliosift.operators.reduce import attached, before_stop, best_texts, longest_texts
@@ -47,6 +50,7 @@ from foliosift.plans.selection import searched, selected
 from foliosift.session import scratch_path, written
 from foliosift.sources.applications import (
     append_applications,
+    append_batch,
     append_buckets,
     application_rows,
     export_csv,
@@ -201,6 +205,36 @@ def page_slices(spark, folder):
     return page_summary(with_pages(rows, size=50, pages_per_bucket=100))
 
 
+def deep_page(spark, folder):
+    """Pages from the middle on, in an order that most rows share with others.
+
+    One by its number, the next by a cursor behind it.
+    """
+    apps = views.apps(spark, folder).select("filing_date", "status_code", "application_number")
+    apps = written(apps, "apps")
+    middle = (apps.count() // 2) // 100
+    order = ["-filing_date"]
+    found = page(apps, middle, size=100, order=order)
+    following = page_after(apps, cursor_after(found, order=order), 100, order)
+    return views.printable(found.unionByName(following))
+
+
+def page_slice(spark, folder):
+    """Two pages of a table stored in two batches, in the order in which it was stored."""
+    path = scratch_path(spark, "batches")
+    orders = views.table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("application_number"), "o_orderstatus"
+    )
+    early = F.col("application_number") % 2 == 0
+    for batch_id, rows in ((9, orders.filter(early)), (10, orders.filter(~early))):
+        ordered = rows.repartitionByRange(3, "application_number")
+        append_batch(ordered.sortWithinPartitions("application_number"), path, batch_id)
+    stored = spark.read.parquet(path).drop("batch_id")
+    paged = with_pages(in_stored_order(stored), size=50, pages_per_bucket=10)
+    middle = stored.count() // 100
+    return pages_between(paged, middle - 1, middle + 1)
+
+
 def stored_order_pages(spark, folder):
     orders = views.table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("application_number"), "o_orderstatus"
@@ -448,6 +482,8 @@ QUERIES = {
     "application_csv_rows": application_csv_rows,
     "stored_application_rows": stored_application_rows,
     "page_slices": page_slices,
+    "deep_page": deep_page,
+    "page_slice": page_slice,
     "stored_order_pages": stored_order_pages,
     "bucketed_output": bucketed_output,
     "payload_split": payload_split,

@@ -80,6 +80,15 @@ def append_applications(apps, path):
     apps.select(*APPLICATION_COLUMNS).write.mode("append").parquet(path)
 
 
+def append_batch(rows, path, batch_id):
+    """Add ``rows`` as batch ``batch_id`` of a stored table, in their order.
+
+    A batch owns one folder and replaces it when it is written again. Numbers by
+    ``in_stored_order`` follow the batches, so later batches move no earlier row.
+    """
+    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
 def replace_applications(apps, path):
     """Store application rows in place of what was there."""
     apps.write.mode("overwrite").parquet(path)

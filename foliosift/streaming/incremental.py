@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from foliosift.session import written
+from foliosift.sources.applications import append_batch
 
 
 def pending(apps, done, key="application_number"):
@@ -33,7 +34,7 @@ def process_available(stream, transform, out, checkpoint):
     """
 
     def write(batch, batch_id):
-        transform(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        append_batch(transform(batch), out, batch_id)
 
     query = (
         stream.writeStream.foreachBatch(write)
