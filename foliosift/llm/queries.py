@@ -5,6 +5,7 @@ from foliosift.llm.decontamination import op7_decontamination
 from foliosift.llm.html_text import op10_html_text
 from foliosift.llm.language_model import op4_lm_scoring
 from foliosift.llm.line_dedup import OP1_SQL, op1_line_dedup
+from foliosift.llm.merkle import OP11_SQL, op11_merkle_manifest
 from foliosift.llm.near_dedup import op6_near_dedup
 from foliosift.llm.packing import op2_packing
 from foliosift.llm.quality import op8_quality_rules
@@ -25,9 +26,14 @@ QUERIES = {
         op8_quality_rules,
         op9_toxicity,
         op10_html_text,
+        op11_merkle_manifest,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLES = {"op1_line_dedup": OP1_SQL, "op5_url_lists": OP5_SQL}
+ORACLES = {
+    "op1_line_dedup": OP1_SQL,
+    "op5_url_lists": OP5_SQL,
+    "op11_merkle_manifest": OP11_SQL,
+}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
