@@ -1,6 +1,7 @@
 """The catalogue queries as SQL for a second engine, on the same tables."""
 
 from foliosift.catalogue import queries as Q
+from foliosift.catalogue import views
 from foliosift.functions.text import WHITE_SPACE
 
 WITH_APPS = """
@@ -23,6 +24,12 @@ with codes as (
 """
 APP_COLUMNS = "application_number, filing_date, cpcs, invention_title, status_code, status_desc"
 
+# The application number cut short, or none, as several applications may share one.
+_SHARED_NUMBER = APP_COLUMNS.replace(
+    "application_number",
+    "case when status_code <> 'F' then right(application_number, 2) end as application_number",
+)
+
 WITH_LINES = """
 with lines as (
     select doc_id, lang, source,
@@ -199,18 +206,48 @@ _OPTIONS = (
 ), options as (
     select cast(doc_id as varchar) as application_number, doc_type,
            case doc_type when 'ABST' then 2147483648 else 0 end + 2 * rn as seq,
-           left(line, 2) as url,
+           line as url,
            case when contains(line, ',') then 'XML' else 'PDF' end as mime
     from ranked
     union all
     select cast(doc_id as varchar), doc_type,
            case doc_type when 'ABST' then 2147483648 else 0 end + 2 * rn + 1,
-           right(line, 2), 'XML'
+           lower(line), 'XML'
     from ranked
 )
 """
 )
 
+# Applications of a few documents each, and their listed documents in order.
+_LISTED = (
+    DOCUMENT_TEXTS
+    + f""", listed as (
+    select doc_id, doc_id // {views.DOCUMENTS_EACH} as number,
+           case when lang = 'en' then 'SPEC' else 'ABST' end as doc_type,
+           doc_id % 7 <> 3 as landed, doc_id % 11 = 5 as malformed, doc_id % 13 = 6 as declares
+    from documents where doc_id // {views.DOCUMENTS_EACH} % 5 <> 2
+)
+"""
+)
+_ENRICHED = f"""{_LISTED}, files as (
+    select cast(number as varchar) as application_number,
+           doc_id + case doc_type when 'ABST' then 2147483648 else 0 end as seq, doc_type,
+           case when not malformed and not declares then abstract end as abstract,
+           case when not malformed and not declares then background end as background,
+           case when not malformed and not declares then summary end as summary
+    from listed join texts using (doc_id) where landed
+)
+{BEST_OF_FILES}, waiting as (
+    select cast(number as varchar) as application_number, count(*) as n from listed
+    where not landed group by number
+)
+select a.application_number, a.lang, best.abstract, best.summary, best.background,
+       coalesce(waiting.n, 0) as payloads_missing
+from (select cast(doc_id // {views.DOCUMENTS_EACH} as varchar) as application_number, min(lang) as lang
+      from documents group by all) a
+left join best using (application_number) left join waiting using (application_number)
+"""
+
 _TURNS = """
 with files as (
     select conv_id as application_number, turn as seq, role as doc_type, text from conversations
@@ -236,6 +273,14 @@ ORACLES = {
         f"{_WITH_MATCHES} select {APP_COLUMNS} from apps "
         "where application_number not in (select application_number from matches)"
     ),
+    "cpc_include_join": (
+        f"{_WITH_MATCHES} select {_SHARED_NUMBER} from apps "
+        "where application_number in (select application_number from matches)"
+    ),
+    "cpc_exclude_join": (
+        f"{_WITH_MATCHES} select {_SHARED_NUMBER} from apps "
+        "where application_number not in (select application_number from matches)"
+    ),
     "search_all_pages": (
         f"{WITH_APPS} select {APP_COLUMNS} from apps where {_IN_RANGE} and {_any_code(Q.WILDCARDS)}"
     ),
@@ -338,6 +383,37 @@ ORACLES = {
             from conversations)
         {BEST_OF_FILES}
         select application_number, background, summary from best""",
+    "landed_records_quarantine": f"""{WITH_APPS}, kinds as (
+            select *, cast(application_number as bigint) % 5 as kind from apps)
+        select application_number, filing_date, invention_title, cast(null as varchar) as reason
+        from kinds where kind in (1, 2, 4)
+        union all
+        select 'x' || application_number, filing_date, invention_title, null
+        from kinds where kind = 1
+        union all
+        select application_number, null, null,
+               case kind when 0 then 'malformed JSON' else 'no patentFileWrapperDataBag' end
+        from kinds where kind in (0, 3)""",
+    "search_from_responses": f"""{WITH_APPS}, landed as (
+            select * replace (if(again, 'x', '') || application_number as application_number)
+            from apps, (values (false), (true)) twice(again)
+            where cast(application_number as bigint) % 5 in (1, 2, 4)
+              and (not again or cast(application_number as bigint) % 5 = 1))
+        select {APP_COLUMNS} from landed where {_IN_RANGE} and {_any_code(Q.WILDCARDS)}""",
+    "payload_files": f"""{DOCUMENT_TEXTS}
+        select doc_id // 64 as part, count(*) as n_documents,
+               cast(sum(length(abstract)) as bigint) as abstracts,
+               cast(sum(length(background)) as bigint) as backgrounds,
+               cast(sum(length(summary)) as bigint) as summaries
+        from texts group by doc_id // 64""",
+    "enrich_from_listings": _ENRICHED,
+    "late_payloads": _ENRICHED,
+    "quarantined_documents": f"""{_LISTED}
+        select cast(doc_id as varchar) as url, if(landed, 0, null) as piece,
+               if(landed, 'xml', 'payload') as stage,
+               case when not landed then 'payload missing' when declares then 'document type declared'
+                    else 'malformed XML' end as reason
+        from listed where not landed or declares or malformed""",
     "enrich_left": f"""{DOCUMENT_TEXTS}, files as (
             select cast(l.doc_id as varchar) as application_number, 0 as seq,
                    case when quality = 1 then 'SPEC' else 'ABST' end as doc_type,

@@ -38,14 +38,20 @@ from foliosift.operators.references import listed_documents, xml_references
 from foliosift.operators.sections import indexed, with_abstract, with_spec_sections
 from foliosift.operators.select import (
     filed_between,
-    matching_keys,
     with_codes_matching,
     without_codes_matching,
     without_codes_under,
     without_statuses,
     without_title_terms,
 )
-from foliosift.plans.enrichment import application_texts, file_texts, piece_texts
+from foliosift.plans.enrichment import (
+    application_texts,
+    enriched,
+    file_texts,
+    finished,
+    piece_texts,
+    quarantined,
+)
 from foliosift.plans.selection import searched, selected
 from foliosift.session import scratch_path, written
 from foliosift.sources.applications import (
@@ -55,13 +61,22 @@ from foliosift.sources.applications import (
     application_rows,
     export_csv,
     flattened,
+    landed_search_responses,
     read_applications,
     read_applications_csv,
     read_search_responses,
     replace_applications,
 )
-from foliosift.sources.documents import read_listings, read_payload_table
-from foliosift.streaming.incremental import arriving, pending, process_available, processed
+from foliosift.sources.documents import read_listings, read_payload_files, read_payload_table
+from foliosift.streaming.incremental import (
+    arriving,
+    latest,
+    pending,
+    process_available,
+    process_pending,
+    processed,
+    stored_batches,
+)
 
 PREFIXES = ["Brand#2", "Brand#13"]
 TERMS, MORE_TERMS = ["ring"], ["old anv"]
@@ -114,12 +129,29 @@ def _pattern_table(spark, folder):
 
 def cpc_include_table(spark, folder):
     apps = written(views.apps(spark, folder), "apps")
-    keys = matching_keys(apps, _pattern_table(spark, folder), "application_number")
-    return keys.select(F.col("_key").alias("application_number"))
+    found = with_codes_matching(apps, _pattern_table(spark, folder))
+    return found.select("application_number")
 
 
 def cpc_exclude_table(spark, folder):
-    apps = views.apps(spark, folder)
+    apps = written(views.apps(spark, folder), "apps")
+    return views.printable(without_codes_matching(apps, _pattern_table(spark, folder)))
+
+
+def _repeated_numbers(spark, folder):
+    """Applications whose numbers are shared by others, and some without a number."""
+    number = F.when(F.col("status_code") != "F", F.expr("right(application_number, 2)"))
+    apps = views.apps(spark, folder).withColumn("application_number", number)
+    return written(apps, "apps")
+
+
+def cpc_include_join(spark, folder):
+    apps = _repeated_numbers(spark, folder)
+    return views.printable(with_codes_matching(apps, _pattern_table(spark, folder)))
+
+
+def cpc_exclude_join(spark, folder):
+    apps = _repeated_numbers(spark, folder)
     return views.printable(without_codes_matching(apps, _pattern_table(spark, folder)))
 
 
@@ -396,6 +428,78 @@ def enrich_left(spark, folder):
     return attached(apps, application_texts(references, files))
 
 
+def landed_records_quarantine(spark, folder):
+    """Responses in all kinds of layout: their applications, and what cannot be used and why."""
+    path = scratch_path(spark, "landed")
+    views.landed_responses(spark, folder, path)
+    records, broken = landed_search_responses(spark, path)
+    number = F.regexp_extract("object", '"(?:applicationNumberText|message)":"([0-9]+)"', 1)
+    none = F.lit(None).cast("string")
+    rows = application_rows(records).select(
+        "application_number", F.col("filing_date").cast("string").alias("filing_date"),
+        "invention_title", none.alias("reason"),
+    )
+    return rows.unionByName(
+        broken.select(
+            number.alias("application_number"), none.alias("filing_date"),
+            none.alias("invention_title"), "reason",
+        )
+    )
+
+
+def search_from_responses(spark, folder):
+    """From landed responses to stored applications of the search."""
+    landing, path = scratch_path(spark, "landed"), scratch_path(spark, "found")
+    views.landed_responses(spark, folder, landing)
+    rows = application_rows(read_search_responses(spark, landing))
+    patterns = spark.createDataFrame([(p,) for p in WILDCARDS], "pattern string")
+    append_applications(searched(written(rows, "rows"), patterns, None, FIRST, LAST), path)
+    found = read_applications(spark, path).drop("patent_number", "grant_date")
+    return views.printable(found)
+
+
+def payload_files(spark, folder):
+    """Payloads landed as files, each with the documents of 64 ids one after the other."""
+    path = scratch_path(spark, "files")
+    texts = views.xml_payloads(spark, folder).selectExpr(
+        "cast(url as bigint) div 64 as part", "decode(content, 'UTF-8') as text"
+    )
+    texts.repartition("part").write.partitionBy("part").text(path)
+    part = F.regexp_extract("path", "/part=([0-9]+)/", 1)
+    payloads = read_payload_files(spark, path, url=part, pattern="*.txt")
+    sums = [F.sum(f"len_{t}").alias(n) for t, n in (("abstract", "abstracts"), ("background", "backgrounds"), ("summary", "summaries"))]
+    found = piece_texts(payload_documents(payloads))
+    return found.groupBy(F.col("url").cast("bigint").alias("part")).agg(F.count("*").alias("n_documents"), *sums)
+
+
+def _from_listings(spark, folder):
+    apps = views.document_applications(spark, folder)
+    return apps, views.document_listings(spark, folder), views.damaged_payloads(spark, folder)
+
+
+def enrich_from_listings(spark, folder):
+    """Applications with the texts of their listed documents; some lack listings or payloads."""
+    return enriched(*_from_listings(spark, folder)).texts
+
+
+def quarantined_documents(spark, folder):
+    """Listed documents that have not landed or cannot be parsed."""
+    rows = quarantined(enriched(*_from_listings(spark, folder)))
+    return rows.withColumn("reason", F.split_part("reason", F.lit(":"), F.lit(1)))
+
+
+def late_payloads(spark, folder):
+    """Every second payload lands late; the batch that finds it runs twice."""
+    out = scratch_path(spark, "enriched")
+    apps, listings, payloads = _from_listings(spark, folder)
+    early = payloads.filter(F.col("url").cast("bigint") % 2 == 0)
+    for batch_id, landed in ((0, early), (1, payloads), (1, payloads)):
+        process_pending(
+            apps, lambda batch, landed=landed: enriched(batch, listings, landed).texts, finished, out, batch_id
+        )
+    return latest(stored_batches(spark, out)).drop("batch_id")
+
+
 def pending_applications(spark, folder):
     documents = views.table(spark, folder, "documents").select("doc_id", "lang")
     return pending(documents, views.table(spark, folder, "labels"), key="doc_id")
@@ -473,6 +577,8 @@ QUERIES = {
     "cpc_include_prefix": cpc_include_prefix,
     "cpc_include_table": cpc_include_table,
     "cpc_exclude_table": cpc_exclude_table,
+    "cpc_include_join": cpc_include_join,
+    "cpc_exclude_join": cpc_exclude_join,
     "search_all_pages": search_all_pages,
     "filing_range_page": filing_range_page,
     "facet_counts": facet_counts_by_type_and_status,
@@ -500,6 +606,12 @@ QUERIES = {
     "early_stop_longest": early_stop_longest,
     "early_stop_two_texts": early_stop_two_texts,
     "enrich_left": enrich_left,
+    "landed_records_quarantine": landed_records_quarantine,
+    "search_from_responses": search_from_responses,
+    "payload_files": payload_files,
+    "enrich_from_listings": enrich_from_listings,
+    "quarantined_documents": quarantined_documents,
+    "late_payloads": late_payloads,
     "pending_applications": pending_applications,
     "incremental_available_now": incremental_available_now,
     "xml_nodes": xml_nodes,

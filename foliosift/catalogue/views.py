@@ -75,9 +75,9 @@ def line_listings(spark, folder):
         'documentCode', case when length(line) < {V.HEADING_LENGTH} then 'ABST'
                              when contains(line, '?') then 'CLM' else 'SPEC' end,
         'downloadOptionBag', array(
-            named_struct('downloadUrl', left(line, 2),
+            named_struct('downloadUrl', line,
                          'mimeTypeIdentifier', if(contains(line, ','), 'XML', 'PDF')),
-            named_struct('downloadUrl', right(line, 2), 'mimeTypeIdentifier', 'XML')))"""
+            named_struct('downloadUrl', lower(line), 'mimeTypeIdentifier', 'XML')))"""
     return documents(spark, folder, "text").selectExpr(
         "cast(doc_id as string) as application_number",
         f"transform({LINES}, line -> {document}) as documentBag",
@@ -134,3 +134,75 @@ def parts_of_doc(spark, folder):
         F.col("role").alias("doc_type"),
         "text",
     )
+
+
+# Documents of an application, in the queries that go from listings to texts.
+DOCUMENTS_EACH = 4
+
+
+def document_applications(spark, folder):
+    """Every few documents as an application."""
+    rows = table(spark, folder, "documents").select("doc_id", "lang")
+    number = F.expr(f"cast(doc_id div {DOCUMENTS_EACH} as string)").alias("application_number")
+    return rows.groupBy(number).agg(F.min("lang").alias("lang"))
+
+
+def document_listings(spark, folder):
+    """The listing of each application but every fifth, which has none."""
+    rows = table(spark, folder, "documents").select("doc_id", "lang")
+    option = F.struct(
+        F.col("doc_id").cast("string").alias("downloadUrl"), F.lit("XML").alias("mimeTypeIdentifier")
+    )
+    document = F.struct(
+        "doc_id",
+        F.when(F.col("lang") == "en", F.lit("SPEC")).otherwise(F.lit("ABST")).alias("documentCode"),
+        F.array(option).alias("downloadOptionBag"),
+    )
+    number = F.expr(f"doc_id div {DOCUMENTS_EACH}").alias("number")
+    bags = rows.groupBy(number).agg(F.sort_array(F.collect_list(document)).alias("bag"))
+    return bags.filter("number % 5 <> 2").selectExpr(
+        "cast(number as string) as application_number",
+        "transform(bag, d -> named_struct('documentCode', d.documentCode, "
+        "'downloadOptionBag', d.downloadOptionBag)) as documentBag",
+    )
+
+
+def damaged_payloads(spark, folder):
+    """Payloads of which some have not landed, lack an end tag or declare a document type."""
+    rows = xml_payloads(spark, folder).selectExpr(
+        "url", "cast(url as bigint) as n", "decode(content, 'UTF-8') as text"
+    )
+    opened = F.when(F.expr("n % 11 = 5"), F.replace(F.col("text"), F.lit("</uscom:DocumentCode>"), F.lit("")))
+    text = F.coalesce(opened, F.col("text"))
+    declared = F.replace(text, F.lit(V.XML_DECLARATION), F.lit(V.XML_DECLARATION + "<!DOCTYPE a>"))
+    text = F.when(F.expr("n % 13 = 6"), declared).otherwise(text)
+    return rows.filter("n % 7 <> 3").select("url", F.encode(text, "UTF-8").alias("content"))
+
+
+def landed_responses(spark, folder, path):
+    """Applications landed as search responses in all kinds of layout, good and bad."""
+    metadata = F.struct(
+        F.col("cpcs").alias("cpcClassificationBag"),
+        F.col("filing_date").cast("string").alias("filingDate"),
+        F.col("invention_title").alias("inventionTitle"),
+        F.col("status_code").alias("applicationStatusCode"),
+        F.col("status_desc").alias("applicationStatusDescriptionText"),
+    ).alias("applicationMetaData")
+
+    def response(number, **options):
+        record = F.struct(number.alias("applicationNumberText"), metadata)
+        return F.to_json(F.struct(F.array(record).alias("patentFileWrapperDataBag")), options)
+
+    number = F.col("application_number")
+    plain = response(number)
+    doubled = F.concat(plain, F.lit(" "), response(F.concat(F.lit("x"), number)))
+    kind = number.cast("bigint") % 5
+    text = (
+        F.when(kind == 0, F.expr("left(plain, length(plain) - 7)"))
+        .when(kind == 1, doubled)
+        .when(kind == 2, response(number, pretty="true"))
+        .when(kind == 3, F.concat(F.lit('{"code":404,"message":"'), number, F.lit('"}')))
+        .otherwise(plain)
+    )
+    rows = apps(spark, folder).withColumn("plain", plain)
+    rows.select(text.alias("value")).write.text(path)

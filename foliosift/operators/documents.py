@@ -21,8 +21,12 @@ def split_payloads(payloads, text, start=V.XML_DECLARATION, end=V.DOCUMENT_END,
 
 
 def payload_documents(payloads):
-    """One row (url, piece, xml) for each specification document of each payload."""
-    texts = payloads.select("url", decoded(F.col("content")).alias("_text"))
+    """One row (url, piece, xml) for each specification document of each payload.
+
+    Other columns of the payload stay with its documents.
+    """
+    others = [name for name in payloads.columns if name != "content"]
+    texts = payloads.select(*others, decoded(F.col("content")).alias("_text"))
     return split_payloads(texts, "_text").filter(starts_document(F.col("xml")))
 
 

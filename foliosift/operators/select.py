@@ -7,10 +7,6 @@ from foliosift.functions.codes import any_code_matches, any_code_under, without_
 from foliosift.functions.text import holds_any_term
 from foliosift.session import written
 
-# Longest pattern table that is turned into a predicate. Beyond it patterns stay a table
-# and are joined.
-INLINE_PATTERNS = 5_000
-
 
 def normalised(apps):
     """Codes without spaces, titles in lower case."""
@@ -43,83 +39,96 @@ def without_statuses(apps, statuses=V.DROPPED_STATUSES):
     return apps.filter(~listed)
 
 
-def with_codes_matching(apps, patterns=None, default=None, key="application_number"):
-    """Keep applications with a code that matches a pattern.
+def with_codes_matching(apps, patterns=None, default=None):
+    """Keep applications with a code that matches a pattern, row by row.
 
     A pattern is a code, or a prefix when it ends in ``*``. ``patterns`` is a list or a
-    one-column table; null or an empty one means ``default``. The filter is a predicate
-    on the row, without shuffle, unless the table is longer than ``INLINE_PATTERNS``;
-    then ``apps`` is read three times and should be a stored table.
+    one-column table; null or an empty one means ``default``. A list becomes a predicate on
+    the row, without shuffle. A table of any length is joined by code list, see
+    ``matching_lists``; then ``apps`` is read twice and should be a stored table. Both look
+    at nothing but the codes of the row, so repeated and null application numbers are kept
+    or dropped one by one.
     """
-    listed, table = _pattern_list(patterns)
-    if listed == []:
-        listed, table = _pattern_list(default)
-    if listed == []:
+    if _nothing(patterns):
+        patterns = default
+    if _nothing(patterns):
         raise ValueError("give patterns or a default list of patterns")
-    if table is None:
-        return apps.filter(any_code_matches("cpcs", listed))
-    return _by_key(apps, table, key, "left_semi")
+    if isinstance(patterns, (list, tuple)):
+        return apps.filter(any_code_matches("cpcs", patterns))
+    return _by_list(apps, patterns, "left_semi")
 
 
-def without_codes_matching(apps, patterns, key="application_number"):
+def without_codes_matching(apps, patterns):
     """Drop applications with a code that matches a pattern; a list or a table."""
-    listed, table = _pattern_list(patterns)
-    if table is None:
-        return apps.filter(~any_code_matches("cpcs", listed))
-    return _by_key(apps, table, key, "left_anti")
+    if isinstance(patterns, (list, tuple)):
+        return apps.filter(~any_code_matches("cpcs", patterns))
+    return _by_list(apps, patterns, "left_anti")
 
 
-def _by_key(apps, table, key, how):
-    return apps.join(matching_keys(apps, table, key), F.col("_key").eqNullSafe(F.col(key)), how)
+def _nothing(patterns):
+    if patterns is None or isinstance(patterns, (list, tuple)):
+        return not patterns
+    return _pattern_rows(patterns).isEmpty()
 
 
-def _pattern_list(patterns):
-    """Patterns as a list, or as a table where they are too many for a predicate."""
-    if patterns is None or isinstance(patterns, (list, tuple)):
-        return list(patterns or []), None
-    text = F.replace(F.col(patterns.columns[0]), F.lit(" "), F.lit(""))
-    table = patterns.select(text.alias("pattern"))
-    table = table.filter("pattern <> ''")
-    head = [row.pattern for row in table.limit(INLINE_PATTERNS + 1).collect()]
-    return (head, None) if len(head) <= INLINE_PATTERNS else (None, table)
+def _by_list(apps, patterns, how):
+    lists = matching_lists(apps, patterns).withColumnRenamed("codes", "_codes")
+    return apps.join(lists, code_list("cpcs") == F.col("_codes"), how)
 
 
-def matching_keys(apps, patterns, key):
-    """Keys of the applications that match a pattern table.
+def code_list(codes):
+    """A code list as a sorted set without spaces: the same for lists that match alike."""
+    return F.array_sort(F.array_distinct(without_spaces(codes)))
 
-    Equal codes collapse before anything is compared, so a code that a third of all
-    applications carry is looked up once. Prefixes are compared by equality on cut
-    codes, one row for each prefix length in use. Matched codes and keys are written to
-    the shared folder, so Spark knows their size when it plans the joins with them, and
-    AQE can split a hot code or key where they are too large to broadcast.
-    """
+
+def _pattern_rows(patterns):
+    """(text, is_prefix) of a one-column table of patterns, without spaces and the ``*``."""
+    text = F.replace(F.col(patterns.columns[0]), F.lit(" "), F.lit(""))
+    rows = patterns.select(text.alias("pattern")).filter("pattern <> ''")
     is_prefix = F.endswith(F.col("pattern"), F.lit("*"))
-    wanted = patterns.select(
-        F.when(is_prefix, F.length("pattern") - 1).otherwise(0).alias("_length"),
-        F.when(is_prefix, F.expr("left(pattern, length(pattern) - 1)"))
-        .otherwise(F.col("pattern"))
-        .alias("_text"),
+    bare = F.expr("left(pattern, length(pattern) - 1)")
+    return rows.select(
+        F.when(is_prefix, bare).otherwise(F.col("pattern")).alias("text"), is_prefix.alias("is_prefix")
     ).distinct()
-    # At most one row for each possible length of a code.
-    lengths = [row[0] for row in wanted.select("_length").distinct().collect()]
-    exploded = apps.select(
-        F.col(key).alias("_key"), F.explode(without_spaces("cpcs")).alias("_code")
-    )
-    cuts = F.array(
-        *(
-            F.struct(
-                F.lit(n).alias("_length"),
-                (F.left(F.col("_code"), F.lit(n)) if n else F.col("_code")).alias("_text"),
-            )
-            for n in lengths
-        )
-    )
-    codes = exploded.select("_code").distinct()
-    hits = (
-        codes.select("_code", F.inline(cuts))
-        .join(wanted, ["_length", "_text"], "left_semi")
-        .select("_code")
-        .distinct()
+
+
+def _beginnings(text, last):
+    """All beginnings of ``text``, the empty one included, up to ``last`` characters."""
+    return F.expr(f"explode(transform(sequence(0, {last}), n -> left({text}, n)))")
+
+
+def disjoint_patterns(patterns):
+    """Patterns without those that a shorter prefix covers: (text, is_prefix).
+
+    A prefix stands for the interval of all codes that begin with it, and two intervals are
+    either disjoint or one holds the other. With the inner ones merged away no code is in
+    more than one. A pattern is covered if one of its own beginnings is a prefix, so the
+    merge is an equality join, whatever the number of patterns.
+    """
+    rows = written(_pattern_rows(patterns), "patterns")
+    prefixes = rows.filter("is_prefix").select(F.col("text").alias("begin"))
+    beginnings = rows.filter("length(text) > 0 or not is_prefix").select(
+        "text", "is_prefix", _beginnings("text", "length(text) - int(is_prefix)").alias("begin")
     )
-    matched = exploded.join(written(hits, "codes"), "_code", "left_semi")
-    return written(matched.select("_key").distinct(), "keys")
+    covered = beginnings.join(prefixes, "begin", "left_semi").select("text", "is_prefix").distinct()
+    return rows.join(covered, ["text", "is_prefix"], "left_anti")
+
+
+def matching_lists(apps, patterns):
+    """The distinct normalised code lists in ``apps`` that match a table of patterns: (codes).
+
+    Applications are many, their code lists fewer, and codes fewer still. Each distinct code
+    is looked up once: its beginnings meet the disjoint intervals of the patterns by equality,
+    and a code is in one of them at most. What matches goes back to the lists and, by the
+    caller, from the lists to the rows. Lists and codes are stored, so that AQE splits a code
+    that very many lists hold.
+    """
+    lists = apps.select(code_list("cpcs").alias("codes")).filter(F.size("codes") > 0)
+    lists = written(lists.distinct(), "lists")
+    held = lists.select("codes", F.explode("codes").alias("code")).filter("code is not null")
+    codes = written(held.select("code").distinct(), "codes")
+    wanted = written(disjoint_patterns(patterns), "intervals")
+    begun = codes.select("code", _beginnings("code", "length(code)").alias("text"))
+    hits = begun.join(wanted, "text").filter("is_prefix or text = code").select("code")
+    found = held.join(written(hits, "hits"), "code", "left_semi")
+    return written(found.select("codes").distinct(), "matching")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from foliosift.functions.codes import joined_codes, split_codes
 from foliosift.schemas import APPLICATION_COLUMNS, APPLICATIONS, SEARCH_RESPONSE
+from foliosift.sources.landed import read_landed
 
 # Field of a raw record and column of an application row.
 COLUMN_OF_FIELD = {
@@ -16,16 +17,23 @@ COLUMN_OF_FIELD = {
     "applicationStatusCode": "status_code",
     "applicationStatusDescriptionText": "status_desc",
 }
+RECORD_LIST = "patentFileWrapperDataBag"
 TYPE_FIELD, TYPE_COLUMN = "applicationTypeLabelName", "application_type"
 
 
-def read_search_responses(spark, path, multiline=False):
-    """Raw records of landed search responses, one row each.
+def landed_search_responses(spark, path):
+    """Raw records of landed search responses, and the responses that cannot be used.
 
-    Responses hold one JSON object a line; ``multiline`` reads one object a file.
+    Responses are JSON objects in any layout. One that is cut short, no JSON, or without a
+    list of records is a row (file, object, reason) of the second table.
     """
-    responses = spark.read.schema(SEARCH_RESPONSE).json(path, multiLine=multiline)
-    return responses.select(F.inline("patentFileWrapperDataBag"))
+    responses, broken = read_landed(spark, path, SEARCH_RESPONSE, RECORD_LIST)
+    return responses.select(F.inline(RECORD_LIST)), broken
+
+
+def read_search_responses(spark, path):
+    """Raw records of landed search responses, one row each."""
+    return landed_search_responses(spark, path)[0]
 
 
 def flattened(records, nested):

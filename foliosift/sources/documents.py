@@ -3,11 +3,17 @@
 from pyspark.sql import functions as F
 
 from foliosift.schemas import DOCUMENT_LISTING, PAYLOADS
+from foliosift.sources.landed import read_landed
 
 
-def read_listings(spark, path, multiline=False):
+def landed_listings(spark, path):
+    """Landed document listings, and (file, object, reason) of those that cannot be used."""
+    return read_landed(spark, path, DOCUMENT_LISTING, "application_number")
+
+
+def read_listings(spark, path):
     """Landed document listings, one row for each application."""
-    return spark.read.schema(DOCUMENT_LISTING).json(path, multiLine=multiline)
+    return landed_listings(spark, path)[0]
 
 
 def read_payload_table(spark, path):

@@ -1,8 +1,10 @@
 import pytest
 
-from foliosift.plans.enrichment import enriched, quarantined
+from foliosift.plans.enrichment import enriched, finished, quarantined
 from foliosift.schemas import DOCUMENT_LISTING, PAYLOADS
-from foliosift.streaming.incremental import arriving, process_available, processed
+from foliosift.streaming.incremental import (
+    arriving, latest, process_available, process_pending, processed, stored_batches,
+)
 from test_reduce import bag, option
 from xml_text import document, heading, paragraph, words
 
@@ -39,12 +41,12 @@ CONTENT = {
     "other": abstract(A1),
 }
 EXPECTED = [
-    ("bad xml", "t4", "", "", ""),
-    ("full", "copy", A2, S2, B1),
-    ("full", "t1", A2, S2, B1),
-    ("gone", "t5", "", "", ""),
-    ("not listed", "t3", None, None, None),
-    ("pdf only", "t2", None, None, None),
+    ("bad xml", "t4", "", "", "", 0),
+    ("full", "copy", A2, S2, B1, 0),
+    ("full", "t1", A2, S2, B1, 0),
+    ("gone", "t5", None, None, None, 1),
+    ("not listed", "t3", None, None, None, 0),
+    ("pdf only", "t2", None, None, None, 0),
 ]
 
 
@@ -62,14 +64,61 @@ def found(rows):
     return sorted((tuple(row) for row in rows.collect()), key=lambda row: row[:2])
 
 
-@pytest.mark.parametrize("everything", [True, False])
-def test_from_listings_to_texts(tables, everything):
-    rows, pieces = enriched(*tables, everything=everything)
-    assert rows.columns == ["application_number", "title", "abstract", "summary", "background"]
-    assert found(rows) == EXPECTED
-    read = {row.url for row in pieces.select("url").collect()}
-    assert ("other" in read) == everything
-    assert [row.url for row in quarantined(pieces).collect()] == ["bad"]
+def test_from_listings_to_texts(tables):
+    result = enriched(*tables)
+    names = ["application_number", "title", "abstract", "summary", "background", "payloads_missing"]
+    assert result.texts.columns == names
+    assert found(result.texts) == EXPECTED
+    read = {row.url for row in result.pieces.select("url").collect()}
+    assert "other" not in read and "bad" in read
+    rows = {(r.url, r.stage, r.reason.split(":")[0]) for r in quarantined(result).collect()}
+    assert rows == {("bad", "xml", "malformed XML"), ("missing", "payload", "payload missing")}
+    assert finished(result.texts).count() == 5
+
+
+def test_only_the_rules_of_the_referring_types_run(spark):
+    broken = document(heading("h-1", "SUMMARY"), paragraph("p-x", words(120, "long")))
+    payloads = [("a", broken.encode()), ("s", broken.encode()), ("both", broken.encode()), ("none", b"<broken")]
+    listings = [
+        ("1", [bag("ABST", option("a"), option("both"))]),
+        ("2", [bag("SPEC", option("s"), option("both"))]),
+    ]
+    result = enriched(
+        spark.createDataFrame([("1", "t"), ("2", "t")], "application_number string, title string"),
+        spark.createDataFrame(listings, DOCUMENT_LISTING),
+        spark.createDataFrame(payloads, PAYLOADS),
+    )
+    rows = {(r.url, r.stage) for r in quarantined(result).collect()}
+    assert rows == {("s", "spec"), ("both", "spec")}
+    assert {r.url for r in result.pieces.collect()} == {"a", "s", "both"}
+
+
+def test_pending_applications_wait_for_their_payloads(spark, tables, tmp_path):
+    """Payloads arrive after their application, before it, and in the middle of a replay."""
+    apps, listings, payloads = tables
+    out = str(tmp_path / "out")
+    late = spark.createDataFrame([("missing", abstract(A3).encode())], PAYLOADS)
+    early = payloads.filter("url not in ('a2', 'bad')")
+    seen = []
+
+    def run(batch_id, landed, arrived):
+        def transform(batch):
+            seen.append(sorted(r.title for r in batch.collect()))
+            return enriched(batch, listings, landed).texts
+
+        process_pending(arrived, transform, finished, out, batch_id)
+
+    run(0, early, apps.filter("title <> 't3'"))
+    run(1, payloads, apps)
+    run(1, payloads, apps)
+    assert found(latest(stored_batches(spark, out)).drop("batch_id")) == EXPECTED
+    run(2, payloads.union(late), apps)
+    rows = found(latest(stored_batches(spark, out)).drop("batch_id"))
+    assert rows == [("gone", "t5", A3, "", "", 0) if r[0] == "gone" else r for r in EXPECTED]
+    run(3, payloads.union(late), apps)
+    assert seen == [
+        ["copy", "t1", "t2", "t4", "t5"], ["copy", "t1", "t3", "t4", "t5"], ["copy", "t1", "t3", "t4", "t5"], ["t5"], [],
+    ]
 
 
 def test_enriching_arrivals(spark, tables, tmp_path):
@@ -79,7 +128,7 @@ def test_enriching_arrivals(spark, tables, tmp_path):
 
     def run():
         stream = arriving(spark, landing, apps.schema)
-        transform = lambda batch: enriched(batch, listings, payloads, everything=False)[0]
+        transform = lambda batch: enriched(batch, listings, payloads).texts
         process_available(stream, transform, out, position)
         return found(processed(spark, out))
 

@@ -99,21 +99,42 @@ def test_include_patterns(spark):
         S.with_codes_matching(frame, None)
 
 
-def test_long_pattern_tables_are_joined(spark, monkeypatch):
+def test_lists_and_tables_agree(spark):
     frame = code_rows(spark)
     table = spark.createDataFrame([(p,) for p in PATTERNS], "pattern string")
-    inline = numbers(S.with_codes_matching(frame, table))
-    rest = numbers(S.without_codes_matching(frame, table))
-    assert sorted(inline + rest) == sorted(name for name, _ in CODES)
-    monkeypatch.setattr(S, "INLINE_PATTERNS", 1)
-    joined = S.with_codes_matching(frame, table)
+    joined, inline = S.with_codes_matching(frame, table), numbers(S.with_codes_matching(frame, PATTERNS))
     assert numbers(joined) == inline
+    rest = numbers(S.without_codes_matching(frame, PATTERNS))
     assert numbers(S.without_codes_matching(frame, table)) == rest
+    assert sorted(inline + rest) == sorted(name for name, _ in CODES)
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_predicate_and_join_agree_with_plain_prefixes(spark, monkeypatch):
+@pytest.mark.parametrize("count", [3, 7000])
+def test_rows_of_one_number_are_judged_one_by_one(spark, count):
+    """One rule, however many patterns there are."""
+    rows = [("1", ["A1"]), ("1", ["B1"]), (None, ["A1"]), (None, ["B1"]), ("2", None), (None, None), ("3", [])]
+    frame = apps(spark, [(name, codes, None, None, None) for name, codes in rows])
+    patterns = ["A1", *(f"Z{n}" for n in range(count))]
+    table = spark.createDataFrame([(p,) for p in patterns], "pattern string")
+    kept = S.with_codes_matching(frame, table).collect()
+    assert [(r.application_number, r.cpcs) for r in sorted(kept, key=repr)] == [("1", ["A1"]), (None, ["A1"])]
+    gone = S.without_codes_matching(frame, table)
+    assert gone.count() == 5 and gone.filter("application_number is null").count() == 2
+
+
+def test_patterns_become_disjoint(spark):
+    patterns = ["A*", "AB*", "A1", "B1", "B1*", "B12", "C 3", "C3", "D*", "D*", "E1*", "E2", "E"]
+    table = spark.createDataFrame([(p,) for p in patterns], "pattern string")
+    found = {(r.text, r.is_prefix) for r in S.disjoint_patterns(table).collect()}
+    assert found == {("A", True), ("B1", True), ("C3", False), ("D", True), ("E1", True), ("E2", False), ("E", False)}
+    everything = spark.createDataFrame([("*",), ("A*",), ("B",)], "pattern string")
+    assert [tuple(r) for r in S.disjoint_patterns(everything).collect()] == [("", True)]
+    assert numbers(S.with_codes_matching(code_rows(spark), everything)) == sorted(n for n, c in CODES if c)
+
+
+def test_predicate_and_join_agree_with_plain_prefixes(spark):
     draw = random.Random(3)
     code = lambda: "".join(draw.choice("AB1") for _ in range(draw.randint(1, 5)))
     rows = [(str(n), [code() for _ in range(draw.randint(0, 4))]) for n in range(1500)]
@@ -122,7 +143,6 @@ def test_predicate_and_join_agree_with_plain_prefixes(spark, monkeypatch):
     expected = sorted(name for name, codes in rows if any(map(hit, codes)))
     frame = apps(spark, [(name, codes, None, None, None) for name, codes in rows])
     assert numbers(S.with_codes_matching(frame, patterns)) == expected
-    monkeypatch.setattr(S, "INLINE_PATTERNS", 1)
     table = spark.createDataFrame([(p,) for p in patterns], "pattern string")
     assert numbers(S.with_codes_matching(frame, table)) == expected
 

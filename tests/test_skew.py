@@ -76,8 +76,7 @@ def test_shared_url(spark, eager_splitting):
     assert rows.filter("abstract = 'text of hot'").count() == N // 3
 
 
-def test_code_of_a_third_of_all_applications(spark, eager_splitting, monkeypatch):
-    monkeypatch.setattr(S, "INLINE_PATTERNS", 1)
+def test_code_of_a_third_of_all_applications(spark, eager_splitting):
     rows = hot_rows(spark, "G06N3/08", "H", "code")
     apps = written(
         rows.select("pad", F.array("code").alias("cpcs"), F.sha2("pad", 256).alias("application_number")), "apps"
