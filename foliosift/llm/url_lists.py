@@ -173,10 +173,10 @@ with parts as (
 ), changes as (
   select case page_id % 3 when 0 then host when 1 then regexp_replace(host, '^[^.]+\.', '')
       else host || '/' || regexp_extract(url, '^\w+://[^/?#]*/([^/?#]+)', 1) end as entry,
-    date_trunc('second', ts) as at, bool_or(event_type not in ('error', 'purchase')) as listed
+    date_trunc('second', ts) as changed, bool_or(event_type not in ('error', 'purchase')) as listed
   from events join parts on page_id = user_id group by all
 ), intervals as (
-  select entry, listed, at as since, coalesce(lead(at) over (partition by entry order by at),
+  select entry, listed, changed as since, coalesce(lead(changed) over (partition by entry order by changed),
     timestamp '9999-12-31') as until from changes
 ), labelled as (
   select *, string_split(host, '.') as labels,
