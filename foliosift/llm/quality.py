@@ -15,10 +15,8 @@ REPEAT_WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED = 0.30
 GRAM, BUCKETS = 4, 1 << 16
-# Share of the trusted rows that pass the rules and may fail the threshold, and the least
-# number of them of which one may fail in any case: a single odd row sets no threshold.
+# Share of the trusted rows that pass the rules and may fail the threshold.
 TRUSTED_LOSS = 0.01
-FEW_ROWS = 20
 # Steps of a unit of the mean log ratio that the threshold is set by.
 STEPS = 10_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -109,13 +107,16 @@ def gram_counts(rows, buckets):
 def lower_bound(scores, loss):
     """Bound that a share ``loss`` of the numbers ``llr`` lies below, in 1 / STEPS.
 
+    One standard error of that count may lie below as well, so that a single odd row among
+    few does not set the bound; among many it makes no difference.
+
     The driver gets one count for each step in use, whose number the range of log ratios
     bounds, and the same numbers give the same bound.
     """
     step = F.floor(F.col("llr") * STEPS).alias("step")
     counts = scores.filter("llr is not null").groupBy(step).count().collect()
     total = sum(row["count"] for row in counts)
-    before = max(int(total * loss), min(1, total // FEW_ROWS))
+    before = int(total * loss + (total * loss) ** 0.5)
     for row in sorted(counts):
         if before < row["count"]:
             return row["step"] / STEPS
@@ -139,7 +140,7 @@ def quality(
     each document its mean log ratio ``llr``. The raw counts cover every document, the
     trusted ones every document that is labelled so, found by a join. ``kept`` is false if
     a rule fails or ``llr`` lies below the ``trusted_loss`` quantile of the trusted rows
-    that pass the rules, the same quantile at every size: equal input, equal verdict. Rules
+    that pass the rules, with the standard error of ``lower_bound``: equal input, equal verdict. Rules
     and ratios are stored once; the driver gets counts of buckets and of steps of ``llr``.
 
     A null or empty text has zero counts, a null ``llr`` and fails the rules; repeated rows
