@@ -1,12 +1,16 @@
 """Helpers of the corpus operators."""
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 # Documents that one step of a Python worker holds decoded at a time.
 BLOCK_ROWS = 256
+# Bits that tell which rows a join may need; and fixed value: bits of one map of Spark's.
+BITS, MAP_BITS = 1 << 24, 32768
 
 
 def lowered(column):
@@ -48,6 +52,21 @@ def texts(docs, key="doc_id", text="text"):
     return packed(docs, key, text).select("key", "text")
 
 
+def likely_in(rows, wanted, columns):
+    """``rows`` without most of those whose ``columns`` are not in ``wanted``; a join follows.
+
+    A bitmap of ``BITS`` bits, at most 2 MB whatever ``wanted`` holds, is broadcast and drops
+    rows before they are shuffled. A row that is wanted always stays.
+    """
+    slot = F.pmod(F.xxhash64(*columns), F.lit(BITS)).alias("_slot")
+    number, place = f"_slot div {MAP_BITS}", f"_slot % {MAP_BITS}"
+    maps = wanted.select(slot).groupBy(F.expr(number).alias("_map"))
+    maps = maps.agg(F.bitmap_construct_agg(F.expr(place)).alias("_bits"))
+    byte = f"conv(hex(substring(_bits, cast({place} div 8 as int) + 1, 1)), 16, 10)"
+    found = rows.select("*", slot).join(F.broadcast(maps), F.expr(number) == F.col("_map"))
+    return found.filter(f"shiftright(cast({byte} as int), cast(_slot % 8 as int)) & 1 = 1").select(*rows.columns)
+
+
 def row_batches(batches, rows=BLOCK_ROWS):
     """Arrow batches cut into slices of a bounded number of rows."""
     for batch in batches:
@@ -55,6 +74,23 @@ def row_batches(batches, rows=BLOCK_ROWS):
             yield batch.slice(start, rows)
 
 
+def text_batches(batches, most, column="text"):
+    """Arrow batches cut into slices of about ``most`` bytes of a text column, one row at least.
+
+    Without a column, slices of ``BLOCK_ROWS`` rows.
+    """
+    if column is None:
+        yield from row_batches(batches)
+        return
+    for batch in batches:
+        lengths = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
+        block = np.cumsum(lengths) // most
+        starts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
+        for start, end in zip(starts[:-1], starts[1:], strict=True):
+            if end > start:
+                yield batch.slice(start, end - start)
+
+
 def byte_texts(batch, column="text"):
     """The texts of a batch as UTF-8 bytes."""
     return batch.column(column).cast(pa.binary()).to_pylist()

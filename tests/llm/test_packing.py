@@ -3,9 +3,10 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from cases import documents, empty, given
-from foliosift.llm.packing import Packer, WordIds, op2_packing, pack_documents
+from foliosift.llm.packing import LossMarks, Packer, WordIds, op2_packing, pack_documents
 from tokenizers import Tokenizer
 
 TOKENIZER = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
@@ -62,21 +63,64 @@ def test_ids_are_those_of_whole_texts(small):
     texts = [r["text"] for r in given(small, "documents")]
     found = WordIds(public_tokenizers.path("word_bpe_49k.json"), cache_words=50)
     for start in range(0, len(texts), 20):
-        part = [t.encode() for t in texts[start : start + 20]]
+        part = pa.array(texts[start : start + 20], pa.string())
         got = [np.frombuffer(x, "<u4").tolist() for x in found.encode_all(part)]
         assert got == [ids_of(t)[:-1] for t in texts[start : start + 20]]
 
 
 @pytest.mark.parametrize("segments, loss", [(3, 2048), (128, 700), (1, 50)])
 def test_limits_hold_together(segments, loss):
-    packer = Packer(2048, segments, loss, lambda n: np.asarray(n) * 0.5)
-    lengths = np.random.default_rng(1).integers(1, 3000, 200)
-    placed = np.zeros(200, int)
-    for made in packer.pack(lengths, finish=True):
+    """Examples of prompts and answers; each sequence keeps all three limits."""
+    random_ = np.random.default_rng(1)
+    runs = [[(int(random_.integers(1, 900)), bool(i % 2)) for i in range(random_.integers(1, 6))] for _ in range(200)]
+    marks = [LossMarks(r) for r in runs]
+    bears = [np.concatenate([np.full(n, x) for n, x in r]) for r in runs]
+    packer = Packer(2048, segments, loss)
+    placed, full = np.zeros(200, int), 0
+    for made in packer.pack([len(b) for b in bears], finish=True, marks=marks):
         assert len(made) <= segments
-        assert sum(n for *_, n in made) <= 2048
-        assert sum(n * 0.5 for *_, n in made) <= loss + 1e-6
-        for document, start, n in made:
-            assert start == placed[document]
+        assert sum(n for _, _, n, _ in made) <= 2048
+        assert sum(x for *_, x in made) <= loss
+        full += sum(x for *_, x in made) == loss
+        for document, start, n, x in made:
+            assert start == placed[document] and n > 0
+            assert x == bears[document][start : start + n].sum()
             placed[document] += n
-    assert (placed == lengths).all()
+    assert placed.tolist() == [len(b) for b in bears]
+    assert full > 0 or loss == 2048  # the loss limit binds
+
+
+def test_marks():
+    marks = LossMarks([(3, False), (4, True), (2, False), (5, True)])
+    bears = [0] * 3 + [1] * 4 + [0] * 2 + [1] * 5
+    for start in range(14):
+        rest = marks.after(start)
+        assert rest.total == sum(bears[start:])
+        for n in range(14 - start):
+            assert marks.between(start, n) == sum(bears[start : start + n]) == rest.between(0, n)
+        for room in range(10):
+            want = max(n for n in range(15 - start) if sum(bears[start : start + n]) <= room)
+            assert marks.most(start, 14 - start, room) == want
+
+
+def test_conversations(spark, small):
+    """Answers bear loss and prompts do not; the loss limit binds before the length."""
+    turns = defaultdict(list)
+    for r in sorted(given(small, "conversations"), key=lambda r: r["turn"]):
+        turns[r["conv_id"]].append((r["text"], r["role"] == "assistant"))
+    more = [(10**6, None), (10**6 + 1, []), (10**6 + 2, [(None, True), ("ab c", None)])]
+    rows = [*turns.items(), *more]
+    docs = spark.createDataFrame(rows, "doc_id long, parts array<struct<text:string,loss:boolean>>").repartition(2)
+    pieces = pack_documents(docs, parts="parts", max_loss=300).collect()
+    loss, at = defaultdict(int), defaultdict(int)
+    bears = {}
+    for i, parts in rows:
+        ids = [[bool(b)] * len(ids_of(t)[:-1]) for t, b in parts or []] or [[]]
+        bears[i] = sum(ids, []) + [bool(parts and parts[-1][1])]
+    for p in sorted(pieces, key=lambda p: (p.doc_id, p.start)):
+        assert p.start == at[p.doc_id] and p.doc_tokens == len(bears[p.doc_id])
+        at[p.doc_id] += p.length
+        assert p.loss_tokens == sum(bears[p.doc_id][p.start : p.start + p.length])
+        loss[p.sequence_id] += p.loss_tokens
+    assert dict(at) == {i: len(b) for i, b in bears.items()}
+    assert max(loss.values()) == 300
