@@ -309,6 +309,10 @@ ORACLES = {
         select status_code, count(*) * case when status_code = 'F' then 2 else 1 end as n,
                max(application_number) as last
         from apps group by status_code""",
+    "mixed_header_csv": f"""{WITH_APPS}
+        select application_number, filing_date, cpcs, '  a "b",' || chr(10) || invention_title || ' ' as invention_title,
+               status_code, if(status_code = 'F', status_desc, null) as status_desc
+        from apps""",
     "page_slices": f"""{_NUMBERED}
         select page // 100 as bucket, page, count(*) as n_rows,
                max(application_number) as last_application_number

@@ -219,6 +219,18 @@ def application_csv_rows(spark, folder):
     return views.printable(rows.select(*apps.columns))
 
 
+def mixed_header_csv(spark, folder):
+    """CSV files with different columns in different orders, and titles with blanks and line ends."""
+    path = scratch_path(spark, "csv")
+    title = F.concat(F.lit('  a "b",\n'), "invention_title", F.lit(" "))
+    apps = written(views.apps(spark, folder).withColumn("invention_title", title), "apps")
+    first = F.col("status_code") == "F"
+    export_csv(apps.filter(first), path)
+    rest = apps.filter(~first).select(F.lit(0).alias("index"), *reversed(apps.columns[:-1]))
+    export_csv(rest, path)
+    return views.printable(read_applications_csv(spark, path).select(*apps.columns))
+
+
 def stored_application_rows(spark, folder):
     """Applications of two status groups, stored by replacing and then appending."""
     path = scratch_path(spark, "stored")
@@ -586,6 +598,7 @@ QUERIES = {
     "nested_flatten": nested_flatten,
     "search_response_rows": search_response_rows,
     "application_csv_rows": application_csv_rows,
+    "mixed_header_csv": mixed_header_csv,
     "stored_application_rows": stored_application_rows,
     "page_slices": page_slices,
     "deep_page": deep_page,

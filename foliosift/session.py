@@ -1,5 +1,6 @@
 """Session settings and the shared folder for written intermediate tables."""
 
+import functools
 import tempfile
 import uuid
 
@@ -31,19 +32,40 @@ def local_session(cores="*", shuffle_partitions=8, memory="8g"):
     return session
 
 
-def scratch_path(spark, label):
-    """A new path in the shared folder that ``spark.checkpoint.dir`` names.
+@functools.cache
+def _local_folder(application):
+    return tempfile.mkdtemp(prefix="foliosift-")
+
+
+def scratch_folder(spark):
+    """Folder for what this session stores between steps.
 
-    A machine-local folder serves only a local session that names none.
+    It lies in the shared folder that ``spark.checkpoint.dir`` names. A machine-local folder
+    serves only a local session that names none; the session's own settings stay as they are.
     """
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="foliosift-")
-        context.setCheckpointDir(shared)
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        shared = _local_folder(context.applicationId)
+    return f"{shared.rstrip('/')}/foliosift-{context.applicationId}"
+
+
+def scratch_path(spark, label):
+    """A new path in the folder of this session."""
+    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark):
+    """Delete everything that this session has stored between steps.
+
+    For the end of a run whose results are written: tables that have not been read yet may
+    still need it.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df, key):

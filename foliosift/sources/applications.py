@@ -1,6 +1,12 @@
 """Application records in and out."""
 
+import csv
+from functools import reduce
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from foliosift.functions.codes import joined_codes, split_codes
 from foliosift.schemas import APPLICATION_COLUMNS, APPLICATIONS, SEARCH_RESPONSE
@@ -65,12 +71,40 @@ def read_applications(spark, path):
     return spark.read.schema(APPLICATIONS).parquet(path)
 
 
-def read_applications_csv(spark, path, multiline=False):
-    """Application rows of CSV files with a header; columns are taken by name.
+def csv_layouts(spark, path):
+    """(names, files) for each header that the CSV files of ``path`` have.
 
-    Identifiers stay text and columns that a file lacks are null.
+    The first line of a file is the first row of its first block. Only the distinct headers and
+    the names of the files, which the driver lists anyway, come back.
+    """
+    at = F.monotonically_increasing_id().alias("at")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value", at
+    )
+    headers = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    for row in headers.groupBy("header").agg(F.collect_list("file").alias("files")).collect():
+        names, seen = next(csv.reader([row["header"].lstrip("\ufeff")]), []), set()
+        for i, name in enumerate(names):
+            # Columns without a name of their own are kept apart and not used.
+            names[i] = name if name and name not in seen else f"_unnamed_{i}"
+            seen.add(name)
+        yield names, [unquote(file) for file in row["files"]]
+
+
+def read_applications_csv(spark, path, multiline=True):
+    """Application rows of CSV files with a header; columns are taken by name in each file.
+
+    Files may differ in the columns they have and in their order. Identifiers stay text and
+    columns that a file lacks are null. ``multiline`` reads line ends inside quotes; without,
+    large files are split.
     """
-    table = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=multiline)
+    rows = [_csv_rows(spark, names, files, multiline) for names, files in csv_layouts(spark, path)]
+    return reduce(DataFrame.unionByName, rows) if rows else spark.createDataFrame([], APPLICATIONS)
+
+
+def _csv_rows(spark, names, files, multiline):
+    schema = StructType([StructField(name, StringType()) for name in names])
+    table = spark.read.schema(schema).csv(files, header=True, quote='"', escape='"', multiLine=multiline)
     columns = []
     for field in APPLICATIONS:
         if field.name not in table.columns:
@@ -103,9 +137,14 @@ def replace_applications(apps, path):
 
 
 def export_csv(rows, path, mode="append"):
-    """CSV with a header in each file; code lists become comma-joined text."""
+    """CSV with a header in each file; code lists become comma-joined text.
+
+    Blanks at the ends of values and line ends inside them come back as they are.
+    """
     flat = rows.withColumn("cpcs", joined_codes(F.col("cpcs"))) if "cpcs" in rows.columns else rows
-    flat.write.mode(mode).csv(path, header=True, quote='"', escape='"')
+    flat.write.mode(mode).csv(
+        path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
 
 
 def append_buckets(paged, path):

@@ -34,7 +34,7 @@ def _splitter():
 
     def split(texts: pa.Array) -> pa.Array:
         rows = [
-            None if text is None else [p for p in pieces(text) if p.strip(marks)]
+            None if text is None else [p for piece in pieces(text) if (p := piece.strip(marks))]
             for text in texts.to_pylist()
         ]
         return pa.array(rows, pa.list_(pa.string()))

@@ -1,8 +1,10 @@
+import tempfile
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from foliosift import session
 from foliosift.operators import ordering as O
 from foliosift.operators import paging as P
 from foliosift.operators.ordering import total_order
@@ -113,18 +115,25 @@ def test_numbered_copies(spark, tmp_path, stored):
 
 
 def test_scratch_needs_a_shared_folder():
-    context = SimpleNamespace(master="spark://x:1", getCheckpointDir=lambda: None)
-    made = []
-    context.setCheckpointDir = made.append
-    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda name, default: default))
+    context = SimpleNamespace(master="spark://x:1", getCheckpointDir=lambda: None, applicationId="a1")
+    fake = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda name, default: default))
     with pytest.raises(ValueError):
-        scratch_path(session, "x")
+        scratch_path(fake, "x")
     context.master = "local[2]"
-    assert scratch_path(session, "x").startswith(made[0])
+    assert scratch_path(fake, "x").startswith(tempfile.gettempdir())
     context.getCheckpointDir = lambda: "hdfs://shared/"
-    assert scratch_path(session, "x").startswith("hdfs://shared/x-") and len(made) == 1
-    session.conf.get = lambda name, default: "s3://named"
-    assert scratch_path(session, "x").startswith("s3://named/x-")
+    assert scratch_path(fake, "x").startswith("hdfs://shared/foliosift-a1/x-")
+    fake.conf.get = lambda name, default: "s3://named"
+    assert scratch_path(fake, "x").startswith("s3://named/foliosift-a1/x-")
+
+
+def test_scratch_can_be_removed(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "scratch_folder", lambda spark: str(tmp_path / "mine"))
+    written(apps(spark), "apps")
+    (tmp_path / "other").mkdir()
+    assert len(list((tmp_path / "mine").iterdir())) == 1
+    session.remove_scratch(spark)
+    assert [p.name for p in tmp_path.iterdir()] == ["other"]
 
 
 def test_stored_order(spark, tmp_path):

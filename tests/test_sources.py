@@ -66,6 +66,77 @@ def test_search_responses(spark, tmp_path):
     assert found[("application_type", "Utility")] == 1 and found[("status_code", None)] == 5
 
 
+def response(*numbers, **more):
+    bag = [{"applicationNumberText": n, "applicationMetaData": {"inventionTitle": 'a} {b "c" \\'}} for n in numbers]
+    return {"patentFileWrapperDataBag": bag, "count": len(bag), **more}
+
+
+def test_landed_layouts(spark, tmp_path):
+    """No layout loses a record, and no damage goes unseen."""
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    plain = lambda *n, **more: json.dumps(response(*n, **more))
+    (folder / "lines.json").write_text("\n".join([plain("1", "2"), plain(), "", plain("3")]))
+    (folder / "doubled.json").write_text(plain("4") + plain("5") + "  " + plain("6") + "\n" + plain("7"))
+    (folder / "indented.json").write_text(
+        "\ufeff" + json.dumps(response("8", "9"), indent=2) + "\r\n" + json.dumps(response("10"), indent="\t")
+    )
+    (folder / "array.json").write_text(json.dumps([response("11"), response("12")]))
+    (folder / "lines_in_array.json").write_text("[\n" + plain("13") + ",\n" + plain("14") + "\n]\n")
+    (folder / "cut.json").write_text(plain("15")[:-20] + "\n" + plain("16") + "\n" + plain("17")[:9])
+    (folder / "mixed.json").write_text(plain("18") + " oops " + plain("19") + plain("20")[:-3])
+    (folder / "others.json").write_text('{"message": "no } { list"}\nnot json\n{}\n' + plain("21", error=None))
+    (folder / "empty.json").write_text("")
+    records, broken = A.landed_search_responses(spark, str(folder))
+    rows = records.select("applicationNumberText", "applicationMetaData.inventionTitle").collect()
+    good = [n for n in range(1, 22) if n not in (15, 17, 20)]
+    assert sorted(int(r[0]) for r in rows) == good
+    assert {r[1] for r in rows} == {'a} {b "c" \\'}
+    found = sorted((r.file.rsplit("/")[-1], r.reason, r.object[:8]) for r in broken.collect())
+    assert found == [
+        ("cut.json", "malformed JSON", '{"patent'), ("cut.json", "malformed JSON", '{"patent'),
+        ("mixed.json", "malformed JSON", "oops"), ("mixed.json", "malformed JSON", '{"patent'),
+        ("others.json", "malformed JSON", "not json"), ("others.json", "no patentFileWrapperDataBag", '{"messag'),
+        ("others.json", "no patentFileWrapperDataBag", "{}"),
+    ]
+
+
+def test_large_files_are_split(spark, tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    text = "\n".join(json.dumps(response(str(n)), indent=1 if n % 3 else None) for n in range(3000))
+    (folder / "one.json").write_text(text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(len(text) // 20))
+    records, broken = A.landed_search_responses(spark, str(folder))
+    assert records.rdd.getNumPartitions() > 4
+    assert sorted(int(r[0]) for r in records.select("applicationNumberText").collect()) == list(range(3000))
+    assert broken.count() == 0
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_broken_listings(spark, tmp_path):
+    folder = tmp_path / "listings"
+    folder.mkdir()
+    (folder / "one.json").write_text('{"application_number": "1"}{"documentBag": []}\n{"application_number": "2", "docu')
+    good, broken = D.landed_listings(spark, str(folder))
+    assert [r.application_number for r in good.collect()] == ["1"]
+    assert sorted(r.reason for r in broken.collect()) == ["malformed JSON", "no application_number"]
+
+
+def test_csv_files_of_many_headers(spark, tmp_path):
+    folder = tmp_path / "more csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text('application_number,invention_title\n1,"  two\nlines "\n2,plain\n')
+    (folder / "b.csv").write_text('\ufeffinvention_title,,status_desc,application_number\n"say ""x"", y",9,Docketed,3\n')
+    (folder / "c.csv").write_text("application_number,invention_title\n4,\n")
+    (folder / "d.csv").write_text("")
+    rows = A.read_applications_csv(spark, str(folder)).orderBy("application_number").collect()
+    assert [(r.application_number, r.invention_title, r.status_desc) for r in rows] == [
+        ("1", "  two\nlines ", None), ("2", "plain", None), ("3", 'say "x", y', "Docketed"), ("4", None, None),
+    ]
+
+
 def test_parquet_and_csv_round_trips(spark, tmp_path):
     path = landed(tmp_path, "responses", {"patentFileWrapperDataBag": RECORDS})
     apps = A.application_rows(A.read_search_responses(spark, path)).cache()
