@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from foliosift.llm.common import byte_texts, name_of, row_batches, texts
+from foliosift.llm.common import byte_texts, likely_in, name_of, row_batches, texts
 from foliosift.session import written
 
 SHINGLE = 5
@@ -122,16 +122,23 @@ def signatures(rows, shingle=SHINGLE, percent=PERCENT):
     )
 
 
+def sizes_allow(one, other, percent):
+    """Whether sets of these sizes can be similar enough."""
+    return 100 * F.least(one, other) >= percent * F.greatest(one, other)
+
+
 def verified(pairs, stored_texts, stored_signatures, percent=PERCENT, shingle=SHINGLE):
     """The pairs (a, b) whose signatures agree and whose full sets are similar enough.
 
     Each pair meets both signatures, then both texts; all four joins are between stored
-    tables, so AQE can split a document that very many others are compared with.
+    tables, so AQE can split a document that very many others are compared with. Sets whose
+    sizes are too far apart are no candidates.
     """
-    sign_a = stored_signatures.select(F.col("key").alias("a"), F.col("signature").alias("sa"))
-    sign_b = stored_signatures.select(F.col("key").alias("b"), F.col("signature").alias("sb"))
+    sign = lambda end: stored_signatures.select(
+        F.col("key").alias(end), F.col("n").alias(f"n{end}"), F.col("signature").alias(f"s{end}")
+    )
     agree = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda same: same))
-    near = pairs.join(sign_a, "a").join(sign_b, "b")
+    near = pairs.join(sign("a"), "a").join(sign("b"), "b").filter(sizes_allow("na", "nb", percent))
     near = near.filter(agree >= least_agreement(percent)).select("a", "b")
     near = written(near, "near")
     text_a = stored_texts.select(F.col("key").alias("a"), F.col("text").alias("ta"))
@@ -197,10 +204,11 @@ def near_duplicates(docs, key="doc_id", text="text", percent=PERCENT, shingle=SH
     sets; a component is all that links reach, named by its smallest key, whose row is kept.
 
     Documents of equal sets first become one class, so copies cost one row each. Classes in
-    a common bucket of a band are candidates, in three steps, so that no step emits the pairs
-    of a group: each class with the smallest class of its buckets; then, where a bucket still
-    holds several components, its classes with its smallest one; then the classes of
-    different components that still share a bucket, all of them. Every candidate passes the
+    a common bucket of a band are candidates, in two steps, so that no step emits the pairs
+    of a group. First each class meets one leader: of all classes in its buckets the one that
+    shares most buckets with others, which is as a rule the text that the others are copies
+    of. Then the classes of buckets that still hold several components meet by their rarest
+    shingles, see ``cross_pairs``. Every candidate passes the
     signature and the full sets before it counts. Bands and
     signature test follow ``percent``: a pair at the threshold shares no bucket with a
     probability of 1e-6 at most, 2.4e-7 for 85; values that the hashes do not reach are
@@ -219,34 +227,33 @@ def near_duplicates(docs, key="doc_id", text="text", percent=PERCENT, shingle=SH
     classes = usable.groupBy("d1", "d2", "n").agg(F.min("node").alias("class"))
     classes = written(classes, "classes")
     leaders = usable.join(classes.select(F.col("class").alias("node")), "node", "left_semi")
-    leaders = leaders.select(F.col("node").alias("key"), "bands", "signature")
+    leaders = leaders.select(F.col("node").alias("key"), "n", "bands", "signature")
     leaders = written(leaders.dropDuplicates(["key"]), "leaders")
     entries = leaders.select("key", F.posexplode("bands").alias("band", "bucket"))
-    # A bucket's smallest and largest class tell whether it holds several.
-    ends = entries.groupBy("band", "bucket").agg(F.min("key").alias("a"), F.max("key").alias("z"))
-    shared = written(ends.filter("a <> z").drop("z"), "buckets")
-    members = written(entries.join(shared, ["band", "bucket"]), "members")
-    signature = leaders.select("key", "signature")
+    shared = entries.groupBy("band", "bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    members = with_leaders(entries, written(shared, "buckets"))
     wanted = written(members.select("key").distinct(), "wanted")
-    candidates = base.withColumnRenamed("node", "key").join(wanted, "key", "left_semi")
+    candidates = likely_in(base.withColumnRenamed("node", "key"), wanted, ["key"])
+    # Inner joins, as each key is wanted once; a semi join would be moved before the bitmap.
+    candidates = candidates.join(wanted, "key")
     stored_texts = written(candidates.dropDuplicates(["key"]), "texts")
+    signature = likely_in(leaders.select("key", "n", "signature"), wanted, ["key"])
+    signature = written(signature.join(wanted, "key"), "signatures")
 
     def links_of(pairs):
         pairs = written(pairs.filter("a <> b").distinct(), "pairs")
         return written(verified(pairs, stored_texts, signature, percent, shingle), "links")
 
-    first = members.groupBy("key").agg(F.min("a").alias("a"))
+    first = members.groupBy("key").agg(F.max(F.struct("weight", "a")).getField("a").alias("a"))
     links = links_of(first.select("a", F.col("key").alias("b")))
     links = links.unionByName(key_links(usable, classes))
     parts = written(components(links), "parts")
-    for rest in (bucket_pairs, cross_pairs):
-        open_ = written(unresolved(members, parts), "open")
-        if open_.isEmpty():
-            break
-        found = links_of(rest(open_))
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            parts = written(components(links), "parts")
+    open_ = written(unresolved(members, parts), "open")
+    found = links_of(cross_pairs(open_, signature.select("key", "n"), stored_texts, percent, shingle))
+    if not found.isEmpty():
+        # What is connected so far stays so: each class with its component is enough.
+        links = parts.select(F.col("component").alias("a"), F.col("key").alias("b"))
+        parts = written(components(links.unionByName(found)), "parts")
     named = usable.select("node", "d1", "d2", "n").join(classes, ["d1", "d2", "n"])
     named = named.join(parts.withColumnRenamed("key", "class"), "class", "left")
     named = named.select("node", F.coalesce("component", "class").getField("key").alias("least"))
@@ -261,6 +268,21 @@ def near_duplicates(docs, key="doc_id", text="text", percent=PERCENT, shingle=SH
     )
 
 
+def with_leaders(entries, shared):
+    """Members (key, band, bucket, a, weight) of the buckets that several classes share.
+
+    The weight of a class adds up the sizes of its buckets; ``a``, the leader of a bucket, is
+    its class of the largest weight, and ``weight`` is that of the leader.
+    """
+    entries = likely_in(entries, shared, ["band", "bucket"])
+    members = written(entries.join(shared, ["band", "bucket"]), "members")
+    weights = members.groupBy("key").agg(F.sum("size").alias("weight"))
+    weighed = written(members.drop("size").join(written(weights, "weights"), "key"), "weighed")
+    lead = weighed.groupBy("band", "bucket").agg(F.max(F.struct("weight", "key")).alias("lead"))
+    lead = lead.select("band", "bucket", F.col("lead.key").alias("a"), F.col("lead.weight").alias("weight"))
+    return written(weighed.drop("weight").join(written(lead, "led"), ["band", "bucket"]), "members")
+
+
 def key_links(usable, classes):
     """Links between the classes of the different texts of one key."""
     own = usable.select("node.key", "node.own", "node", "d1", "d2", "n")
@@ -285,21 +307,51 @@ def unresolved(members, parts):
     return placed.join(mixed_, ["band", "bucket"], "left_semi")
 
 
-def bucket_pairs(members):
-    """Each member with the smallest class of its bucket, unless they are connected."""
-    heads = members.filter("key = a").select(
-        "band", "bucket", F.col("component").alias("head_component")
-    )
-    pairs = members.join(heads, ["band", "bucket"]).filter("component <> head_component")
-    return pairs.select("a", F.col("key").alias("b"))
+def cross_pairs(members, sizes, stored_texts, percent, shingle):
+    """Pairs of classes of different components that can be similar enough, by rare shingles.
+
+    All shingles have one order, the rarest first. Two sets that overlap enough share one of
+    their first ones: up to ``short`` in the smaller set and up to ``long`` in the larger one.
+    At the first common shingle what is left of both sets must still be enough. So texts that
+    share only what is common to very many do not meet, and classes that are similar enough
+    always do. Only the first shingles of a set are joined, each set's own in its own order.
+    """
+    classes = written(members.select("key", "component").distinct(), "classes")
+    texts_ = stored_texts.join(classes.select("key"), "key", "left_semi")
 
+    def sets(batches):
+        for batch in row_batches(batches):
+            found = [shingle_set(d, shingle).view(np.int64) for d in byte_texts(batch)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array(found, pa.list_(pa.int64()))], ["key", "shingles"]
+            )
 
-def cross_pairs(members):
-    """Members of one bucket that are in different components."""
-    left = members.select("band", "bucket", F.col("key").alias("a"), F.col("component").alias("ca"))
-    right = members.select("band", "bucket", F.col("key").alias("b"), F.col("component").alias("cb"))
-    pairs = left.join(right, ["band", "bucket"]).filter("a < b and ca <> cb")
-    return pairs.select("a", "b")
+    kind = stored_texts.schema["key"].dataType.simpleString()
+    held = texts_.mapInArrow(sets, f"key {kind}, shingles array<long>")
+    held = written(held.select("key", F.explode("shingles").alias("shingle")), "shingles")
+    counts = written(held.groupBy("shingle").agg(F.count("*").alias("held")), "counts")
+    order = F.sort_array(F.collect_list(F.struct("held", "shingle")))
+    ranked = held.join(counts, "shingle").groupBy("key").agg(order.alias("order"))
+    ranked = ranked.join(sizes, "key").join(classes, "key")
+    long = f"n - ({percent} * n + 99) div 100 + 1"
+    short = f"n - ({2 * percent} * n + {99 + percent}) div {100 + percent} + 1"
+    first = ranked.selectExpr(
+        "key", "component", "n", f"{short} as short",
+        f"posexplode(slice(order, 1, cast({long} as int))) as (at, entry)",
+    )
+    first = first.filter("entry.held > 1").selectExpr(
+        "key", "component", "n", "short", "at + 1 as at", "entry.shingle as shingle"
+    )
+    first = written(first, "first")
+    small = first.filter("at <= short").drop("short").toDF("a", "ca", "na", "ia", "shingle")
+    large = first.drop("short").toDF("b", "cb", "nb", "ib", "shingle")
+    left = 1 + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
+    smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    enough = left * (100 + percent) >= percent * (F.col("na") + F.col("nb"))
+    meet = small["shingle"] == large["shingle"]
+    other = F.col("ca") != F.col("cb")
+    pairs = small.join(large, meet & other & smaller & enough & sizes_allow("na", "nb", percent))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def one_of_each(docs, key="doc_id", text="text", percent=PERCENT):

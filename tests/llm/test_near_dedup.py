@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from cases import documents, empty, given, rows
 from corpus_pipeline import distinct_documents
+from foliosift.llm import near_dedup
+from foliosift.llm.common import likely_in
 from foliosift.llm.near_dedup import (
     bands_of, components, least_agreement, near_duplicates, one_of_each, op6_near_dedup, shingle_set,
 )
@@ -15,7 +17,7 @@ def shingles(text):
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
 
 
-def plain(pairs):
+def plain(pairs, percent=85):
     sets = [shingles(t) for _, t in pairs]
     root = {i: i for i, _ in pairs if i is not None}
 
@@ -29,7 +31,7 @@ def plain(pairs):
             j = pairs[y][0]
             if i is None or j is None or not sets[x] or not sets[y]:
                 continue
-            if 100 * len(sets[x] & sets[y]) >= 85 * len(sets[x] | sets[y]):
+            if 100 * len(sets[x] & sets[y]) >= percent * len(sets[x] | sets[y]):
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
     return sorted(
@@ -99,6 +101,42 @@ def test_given_documents(spark, small):
     assert rows(op6_near_dedup(spark, small), *NAMES) == plain(pairs)
 
 
+def test_candidates_follow_the_number_of_texts(spark, monkeypatch):
+    """Near copies of one text, all of them too far from it and from each other to be linked."""
+    choose, base = random.Random(5), [f"w{i}" for i in range(300)]
+    compare, counts = near_dedup.verified, []
+
+    def counted(pairs, *rest):
+        counts.append(pairs.count())
+        return compare(pairs, *rest)
+
+    monkeypatch.setattr(near_dedup, "verified", counted)
+    seen = []
+    for n in (60, 120):
+        texts = [" ".join(base)]
+        for i in range(n):
+            words = list(base)
+            for at in choose.sample(range(0, 300, 6), 9):
+                words[at] = f"own{i}x{at}"
+            texts.append(" ".join(words))
+        pairs = list(enumerate(texts))
+        counts.clear()
+        assert rows(near_duplicates(documents(spark, pairs)), *NAMES) == plain(pairs)
+        seen.append(sum(counts))
+    assert seen[1] <= 2.5 * seen[0] and seen[1] <= 8 * 120
+
+
+def test_rows_that_a_join_needs_stay(spark):
+    wanted = spark.range(0, 5000, 7).selectExpr("id as k", "struct(id, 'x') as s")
+    every = spark.range(5000).selectExpr("id as k", "struct(id, 'x') as s", "id * 2 as v")
+    for columns in (["k"], ["s"], ["k", "s"]):
+        kept = likely_in(every, wanted, columns)
+        assert kept.columns == every.columns
+        assert kept.join(wanted, "k", "left_semi").count() == 715
+        assert kept.count() < 720
+    assert likely_in(every, wanted.limit(0), ["k"]).count() == 0
+
+
 def changed(count, pairs):
     """Texts of 196 shingles, each beside a copy with ``count`` changed words."""
     out = []
