@@ -1,123 +1,193 @@
 """Benchmark decontamination: Wu-Manber search for word windows of benchmark items."""
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import functions as F
 
-from foliosift.llm.common import name_of, row_batches, row_of, with_columns
+from foliosift.llm.common import MAP_BITS, byte_texts, name_of, row_batches, row_of, with_columns
+from foliosift.session import written
 
 # A-Z become a-z, ASCII other than letters and digits becomes a blank, the rest stays.
 FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 or 48 <= b <= 57 else 32
     for b in range(256)
 )
+# Words as ``words_of`` finds them, for texts whose A-Z are not yet folded.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW = 10
 BLOCK = 2
-# Bytes of benchmark text in one search table; further items go to further tables.
-TABLE_BYTES = 16 << 20
+# Slots of a shift table, one byte each, and bits that tell which windows there may be. Both
+# are as large for any benchmark: 256 KB for each pattern length and 4 MB.
+SLOTS, WINDOW_BITS = 1 << 18, 1 << 25
 
 
 def words_of(data):
     return data.translate(FOLD).split()
 
 
+def slot_of(words, slots):
+    """Slot of a block of words in a shift table."""
+    return xxhash.xxh3_64_intdigest(b" ".join(words)) % slots
+
+
+def bit_of(window, bits):
+    return xxhash.xxh3_64_intdigest(window, 1) % bits
+
+
 class Patterns:
-    """Search table for word sequences of one length.
+    """Search for word sequences of one length.
 
-    ``shift`` tells for a block of words how far the search may move on: the distance of
-    the block's last place in any pattern from the pattern's end. A block that ends some
-    pattern has no shift; its ``buckets`` entry holds those patterns.
+    ``shift`` tells for the slot of a block of words how far the search may move on: the least
+    distance of such a block from the end of any pattern. Where it is 0 the window may be a
+    pattern; ``bits`` sorts out most that are none.
     """
 
-    def __init__(self, length):
-        self.length, self.block = length, min(BLOCK, length)
-        self.shift, self.buckets = {}, {}
-
-    def add(self, words, item):
-        last = self.length - self.block
-        for i in range(last + 1):
-            block = tuple(words[i : i + self.block])
-            self.shift[block] = min(self.shift.get(block, last + 1), last - i)
-        bucket = self.buckets.setdefault(tuple(words[last:]), {})
-        bucket.setdefault(tuple(words), set()).add(item)
-
-    def search(self, words):
-        """(start, items) of each occurrence."""
-        m, b, n = self.length, self.block, len(words)
-        far, shift, buckets = m - b + 1, self.shift.get, self.buckets
-        end = m
+    def __init__(self, length, shift, bits):
+        self.length, self.block, self.shift, self.bits = length, min(BLOCK, length), shift, bits
+
+    def candidates(self, words):
+        """(start, window) of each place where a pattern may be, and of each where one is."""
+        m, b, shift, bits = self.length, self.block, self.shift, self.bits
+        end, n, slots, size = m, len(words), len(shift), 8 * len(bits)
         while end <= n:
-            block = tuple(words[end - b : end])
-            step = shift(block, far)
+            step = shift[slot_of(words[end - b : end], slots)]
             if step:
                 end += step
                 continue
-            items = buckets[block].get(tuple(words[end - m : end]))
-            if items:
-                yield end - m, items
+            window = b" ".join(words[end - m : end])
+            bit = bit_of(window, size)
+            if bits[bit >> 3] >> (bit & 7) & 1:
+                yield end - m, window
             end += 1
 
 
-def search_tables(items, window=WINDOW):
-    """One table for each pattern length of ``items``, pairs of item id and bytes."""
-    tables = {}
-    for item, data in items:
-        words = words_of(data)
-        length = min(window, len(words))
-        for i in range(len(words) - length + 1 if words else 0):
-            tables.setdefault(length, Patterns(length)).add(words[i : i + length], item)
-    return list(tables.values())
+def shifts(windows, slots):
+    """(length, slot, shift) of the blocks in windows of words; a slot may come again."""
+    for words in windows:
+        m, b = len(words), min(BLOCK, len(words))
+        for i in range(m - b + 1):
+            yield m, slot_of(words[i : i + b], slots), m - b - i
+
+
+def item_windows(data, window=WINDOW):
+    """The windows of an item: all sequences of ``window`` words, or all words of a shorter one."""
+    words = words_of(data)
+    length = min(window, len(words))
+    return [words[i : i + length] for i in range(len(words) - length + 1)] if words else []
+
+
+def benchmark_windows(benchmark, item, text, window, bits):
+    """(window, bit, item) for each distinct window of each item, as a stored table."""
+
+    def cut(batches):
+        for batch in row_batches(batches):
+            places, found = [], []
+            for i, data in enumerate(byte_texts(batch)):
+                own = {b" ".join(w) for w in item_windows(data, window)}
+                places += [i] * len(own)
+                found += own
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(found, pa.binary()),
+                    pa.array([bit_of(w, bits) for w in found], pa.int64()),
+                    batch.column("item").take(pa.array(places, pa.int64())),
+                ],
+                ["window", "bit", "item"],
+            )
+
+    rows = benchmark.select(
+        name_of(item).cast("string").alias("item"), name_of(text).alias("text")
+    ).filter("item is not null and text is not null")
+    return written(rows.mapInArrow(cut, "window binary, bit long, item string").distinct(), "windows")
+
 
+def search_tables(windows, window, slots, bits):
+    """Shift table of each pattern length, and the bits of all windows, built by the tasks.
 
-def chunks(benchmark, item, text, limit):
-    """Lists of (item id, bytes), each of about ``limit`` bytes, one after the other."""
-    rows = benchmark.select(name_of(item).cast("string"), name_of(text).cast("binary"))
-    held, size = [], 0
-    for name, data in rows.filter(rows[0].isNotNull() & rows[1].isNotNull()).toLocalIterator():
-        held.append((name, bytes(data)))
-        size += len(data)
-        if size >= limit:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+    The driver gets the least shift of each slot in use, at most ``slots`` for each of at most
+    ``window`` lengths, and the bits, whatever the benchmark holds.
+    """
+
+    def least_shifts(batches):
+        least = {}
+        for batch in row_batches(batches):
+            for m, slot, shift in shifts((w.split(b" ") for w in byte_texts(batch, "window")), slots):
+                least[m, slot] = min(shift, least.get((m, slot), shift))
+        rows = [(m, slot, shift) for (m, slot), shift in least.items()]
+        yield pa.RecordBatch.from_pylist(
+            [dict(zip(("length", "slot", "shift"), r, strict=True)) for r in rows],
+            pa.schema([("length", pa.int32()), ("slot", pa.int32()), ("shift", pa.int32())]),
+        )
+
+    found = windows.select("window").mapInArrow(least_shifts, "length int, slot int, shift int")
+    found = found.groupBy("length", "slot").agg(F.min("shift").alias("shift")).toArrow()
+    columns = [found.column(c).to_numpy() for c in ("length", "slot", "shift")]
+    present = bytearray(max(bits, MAP_BITS) // 8)
+    maps = windows.groupBy(F.expr(f"bit div {MAP_BITS}").alias("map"))
+    for row in maps.agg(F.bitmap_construct_agg(F.expr(f"bit % {MAP_BITS}")).alias("bits")).collect():
+        at = row["map"] * MAP_BITS // 8
+        present[at : at + MAP_BITS // 8] = row["bits"]
+    present, tables = bytes(present[: bits // 8]), []
+    for m in range(1, window + 1):
+        own = columns[0] == m
+        if own.any():
+            shift = np.full(slots, m - min(BLOCK, m) + 1, np.uint8)
+            shift[columns[1][own]] = columns[2][own]
+            tables.append(Patterns(m, shift.tobytes(), present))
+    return tables
 
 
 def contamination(
-    docs, benchmark, text="text", item="item_id", item_text="text", window=WINDOW,
-    table_bytes=TABLE_BYTES,
-):
+    docs, benchmark, text="text", item="item_id", item_text="text", window=WINDOW, slots=SLOTS, bits=WINDOW_BITS
+):
     """``docs`` with ``n_words``, ``n_hit``, ``hits``, ``items`` and ``contaminated``.
 
     Windows are ``window`` consecutive words of an item, or all words of a shorter one.
     ``hits`` are the joined (start, end) ranges of document words inside an occurrence,
-    ``items`` the ids of the items found, as sorted texts. The benchmark is read in pieces
-    of ``table_bytes``; each piece is one broadcast table and one pass over the documents
-    in the same stage, so its size is bounded whatever the benchmark holds. No shuffle.
+    ``items`` the ids of the items found, as sorted texts. The windows of the benchmark are a
+    stored table. What is broadcast, the shift tables and bits by which the search skips
+    impossible positions, has a fixed size; a larger benchmark only lets more positions
+    through. Windows at those positions meet the table by equality, suffix and all, so the
+    result is exact. A text that many documents share is looked up once.
 
     A null, empty or wordless text has no words and is clean; items without id or words
     find nothing; repeated rows of either table change no other result. An empty benchmark
     leaves all clean, an empty document table is empty. Other columns stay, also where
-    their names clash with the working columns; the five named ones are replaced.
+    their names clash with the working columns; the five named ones are replaced. ``window`` is
+    255 at most.
     """
-    spark = docs.sparkSession
-    df = docs.select(
+    windows = benchmark_windows(benchmark, item, item_text, window, bits)
+    tables = docs.sparkSession.sparkContext.broadcast(search_tables(windows, window, slots, bits))
+    content = name_of(text)
+    base = docs.select(
         row_of(docs),
-        F.lit(0).cast("bigint").alias("n_words"),
-        F.array().cast("array<struct<start:bigint,end:bigint>>").alias("hits"),
-        F.array().cast("array<string>").alias("items"),
+        content.alias("text"),
+        F.xxhash64(content).alias("h1"),
+        F.xxhash64(F.lit(1), content).alias("h2"),
+    )
+    asked = base.select("h1", "h2", "text").mapInArrow(
+        scan_with(tables), "h1 long, h2 long, start long, end long, window binary"
+    )
+    asked = written(asked.distinct(), "asked")
+    found = asked.join(windows.select("window", "item"), "window").groupBy("h1", "h2")
+    found = found.agg(
+        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("ranges"),
+        F.sort_array(F.collect_set("item")).alias("items"),
     )
-    pieces = list(map(search_tables, chunks(benchmark, item, item_text, table_bytes))) or [[]]
-    for tables in pieces:
-        df = df.mapInArrow(scan_with(spark.sparkContext.broadcast(tables), text), df.schema)
-    n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda n, h: n + h["end"] - h["start"])
+    kind = "array<struct<start:bigint,end:bigint>>"
+    found = found.mapInArrow(join_ranges, f"f1 long, f2 long, hits {kind}, items array<string>")
+    df = base.join(written(found, "hits"), (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2")), "left")
+    hits = F.coalesce("hits", F.array().cast(kind))
+    n_hit = F.aggregate(hits, F.lit(0).cast("bigint"), lambda n, h: n + h["end"] - h["start"])
     return with_columns(
         df,
         {
-            "n_words": F.col("n_words"),
+            "n_words": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint"),
             "n_hit": n_hit,
-            "hits": F.col("hits"),
-            "items": F.col("items"),
-            "contaminated": F.size("hits") > 0,
+            "hits": hits,
+            "items": F.coalesce("items", F.array().cast("array<string>")),
+            "contaminated": F.size(hits) > 0,
         },
         docs.columns,
     )
@@ -134,37 +204,43 @@ def joined(ranges):
     return out
 
 
-def scan_with(tables, text):
+def join_ranges(batches):
+    """Ranges of a document that touch or overlap, made one."""
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    for batch in batches:
+        ranges = (
+            [{"start": a, "end": b} for a, b in joined((r["start"], r["end"]) for r in found)]
+            for found in batch.column("ranges").to_pylist()
+        )
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("h1"), batch.column("h2"), pa.array(list(ranges), kind), batch.column("items")],
+            ["f1", "f2", "hits", "items"],
+        )
+
+
+def scan_with(tables):
+    """Places of each text where a pattern may be."""
 
     def scan(batches):
         for batch in row_batches(batches):
-            row = batch.column("row")
-            n_words, hits, items = [], [], []
-            old = zip(
-                row.field(text).cast(pa.binary()).to_pylist(),
-                batch.column("hits").to_pylist(),
-                batch.column("items").to_pylist(),
-                strict=True,
-            )
-            for data, before, known in old:
+            places, spans, windows = [], [], []
+            for i, data in enumerate(byte_texts(batch)):
                 words = words_of(data or b"")
-                ranges, names = [(h["start"], h["end"]) for h in before], set(known)
                 for patterns in tables.value:
-                    for start, found in patterns.search(words):
-                        ranges.append((start, start + patterns.length))
-                        names |= found
-                n_words.append(len(words))
-                hits.append([{"start": s, "end": e} for s, e in joined(ranges)])
-                items.append(sorted(names))
+                    for start, window in patterns.candidates(words):
+                        places.append(i)
+                        spans.append((start, start + patterns.length))
+                        windows.append(window)
+            at = pa.array(places, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    row,
-                    pa.array(n_words, pa.int64()),
-                    pa.array(hits, kind),
-                    pa.array(items, pa.list_(pa.string())),
+                    batch.column("h1").take(at),
+                    batch.column("h2").take(at),
+                    pa.array([s for s, _ in spans], pa.int64()),
+                    pa.array([e for _, e in spans], pa.int64()),
+                    pa.array(windows, pa.binary()),
                 ],
-                ["row", "n_words", "hits", "items"],
+                ["h1", "h2", "start", "end", "window"],
             )
 
     return scan

@@ -4,7 +4,8 @@ import re
 
 import pytest
 from cases import documents, empty, given, rows
-from foliosift.llm.decontamination import contamination, op7_decontamination, search_tables
+from foliosift.llm import decontamination as D
+from foliosift.llm.decontamination import contamination, op7_decontamination
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -31,8 +32,8 @@ def items_table(spark, items):
     return spark.createDataFrame(items, "item_id long, text string")
 
 
-@pytest.mark.parametrize("table_bytes", [1 << 20, 40])
-def test_awkward_rows(spark, table_bytes):
+@pytest.mark.parametrize("collisions", [False, True])
+def test_awkward_rows(spark, collisions):
     choose = random.Random(5)
     text = lambda n: " ".join(choose.choices("ab cd ef gh".split(), k=n))
     items = [(n, text(choose.randint(1, 14))) for n in range(12)]
@@ -40,7 +41,9 @@ def test_awkward_rows(spark, table_bytes):
     pairs = [(n, text(choose.randint(0, 60))) for n in range(40)]
     pairs += [(50, None), (51, ""), (52, "É-A!b"), (53, "é a b"), (54, text(5000))]
     pairs += [pairs[0], (None, pairs[1][1])]
-    got = contamination(documents(spark, pairs), items_table(spark, items), table_bytes=table_bytes)
+    # With few slots and bits nearly every block and window shares them with others.
+    sizes = {"slots": 2, "bits": 16} if collisions else {}
+    got = contamination(documents(spark, pairs), items_table(spark, items), **sizes)
     known = [i for i in items if i[0] is not None]
     want = [(i, *plain(t, known)) for i, t in pairs]
     want = sorted(((i, n, h, names, h > 0) for i, n, h, names in want), key=repr)
@@ -48,22 +51,31 @@ def test_awkward_rows(spark, table_bytes):
     assert {r.own for r in got.select("own").collect()} == {7}
 
 
-def test_shifts_pass_over_other_words():
-    table = search_tables([(1, b"a b c d e f g h i j")])[0]
-    assert table.shift[(b"i", b"j")] == 0 and table.shift[(b"a", b"b")] == 8
-    seen = []
-    table.shift = Watched(table.shift, seen)
-    assert list(table.search([b"x"] * 900)) == [] and len(seen) <= 100
-
-
-class Watched(dict):
-    def __init__(self, own, seen):
-        super().__init__(own)
-        self.seen = seen
-
-    def get(self, block, other=None):
-        self.seen.append(block)
-        return super().get(block, other)
+def test_shifts_pass_over_other_words(monkeypatch):
+    words = b"a b c d e f g h i j".split()
+    shift, bits = bytearray([9]) * D.SLOTS, bytearray(D.WINDOW_BITS // 8)
+    for m, slot, step in D.shifts([words], D.SLOTS):
+        assert m == 10
+        shift[slot] = min(step, shift[slot])
+    bit = D.bit_of(b" ".join(words), D.WINDOW_BITS)
+    bits[bit >> 3] |= 1 << (bit & 7)
+    assert shift[D.slot_of([b"i", b"j"], D.SLOTS)] == 0 and shift[D.slot_of([b"a", b"b"], D.SLOTS)] == 8
+    seen, slot_of = [], D.slot_of
+    monkeypatch.setattr(D, "slot_of", lambda block, slots: seen.append(block) or slot_of(block, slots))
+    table = D.Patterns(10, bytes(shift), bytes(bits))
+    assert list(table.candidates([b"x"] * 900)) == [] and len(seen) <= 100
+    assert list(table.candidates([b"x"] * 33 + words + [b"y"] * 7)) == [(33, b" ".join(words))]
+
+
+def test_search_tables_have_a_fixed_size(spark):
+    items = [(i, " ".join(f"w{(i * 37 + k) % 5000}" for k in range(40))) for i in range(2000)]
+    windows = D.benchmark_windows(items_table(spark, items), "item_id", "text", 10, D.WINDOW_BITS)
+    (table,) = D.search_tables(windows, 10, D.SLOTS, D.WINDOW_BITS)
+    assert len(table.shift) == D.SLOTS and len(table.bits) == D.WINDOW_BITS // 8
+    for row in windows.limit(200).collect():
+        words = bytes(row.window).split()
+        assert table.shift[D.slot_of(words[-2:], D.SLOTS)] == 0
+        assert [w for _, w in table.candidates(words)] == [bytes(row.window)]
 
 
 def test_empty_tables(spark):
