@@ -17,9 +17,10 @@ END = OWN_WORDS + REST_CLASSES
 CLASSES = END + 1
 # A word that makes up one in so many words is frequent; so there are no more of them.
 FREQUENT = 65_536
-PASSES = 3
-# Start values come from so many training documents, chosen by hash.
-SEED_DOCUMENTS, SEED_PASSES = 400, 12
+# Shares of the training documents, chosen by hash, that the passes cover. The first passes
+# part the states; the last ones see every document. All shares grow with the corpus.
+SHARES = (1 / 8,) * 6 + (1 / 4, 1.0, 1.0)
+PARTS = 64
 POOL_TOKENS = 3_000_000
 FLUSH_WORDS = 200_000
 SMOOTH = 0.1
@@ -108,17 +109,12 @@ def model_of(starts, moves, emissions):
     return start, move, np.ascontiguousarray(emit.T)
 
 
-def seeded_model(sequences, states, passes):
-    """Start values: a few passes over some documents, from a fixed random start."""
+def start_model(totals, states):
+    """Start values: the class counts of the whole corpus, set apart by a fixed random factor."""
     random = np.random.default_rng(7)
-    pool = Pool(sequences)
-    total = np.bincount(pool.tokens, minlength=CLASSES)
-    emissions = (total + SMOOTH) * random.uniform(0.5, 1.5, (states, CLASSES))
+    emissions = (totals + SMOOTH) * random.uniform(0.5, 1.5, (states, CLASSES))
     moves = np.ones((states, states)) + 10 * states * np.eye(states)
-    model = model_of(np.ones(states), moves, emissions)
-    for _ in range(passes if len(sequences) else 0):
-        model = model_of(*pool.counts(model)[:3])
-    return model
+    return model_of(np.ones(states), moves, emissions)
 
 
 def word_counts(docs):
@@ -273,7 +269,7 @@ def expected_counts(sequences, model, states):
     return flat[:a], flat[a:b].reshape(states, states), flat[b:].reshape(states, CLASSES)
 
 
-def lm_scores(docs, held_out, key="doc_id", text="text", states=STATES, passes=PASSES):
+def lm_scores(docs, held_out, key="doc_id", text="text", states=STATES, shares=SHARES):
     """Log10 probability of each text under a hidden Markov model of words.
 
     ``held_out`` is a boolean column; the rows where it is true or null teach nothing.
@@ -281,18 +277,18 @@ def lm_scores(docs, held_out, key="doc_id", text="text", states=STATES, passes=P
     A state emits a class and the class a word: the most frequent words are classes of
     their own, other words share classes by their endings, and inside a class a word has
     its smoothed share of all training words, with one place for unknown ones. So the
-    model is a distribution over all texts. Class counts and Baum-Welch cover the whole
-    corpus: each pass adds up expected counts over all tasks. The score is exact: scaled
-    forward recursion over the whole text and its end.
+    model is a distribution over all texts. Baum-Welch starts from the class counts of the
+    whole corpus. Each pass adds up expected counts over all tasks and covers a share of the
+    training documents, the last passes all of them; no text goes to the driver. The score is
+    exact: scaled forward recursion over the whole text and its end.
 
     Words are counted with addition before the shuffle. Words that are frequent, at most
     ``FREQUENT`` of them by definition, are looked up from a broadcast; the others, spread
     over very many keys, are joined as (document, word, count), without the texts.
 
     A null or empty text is the end alone. Rows of equal key and text count one by one in
-    training and have equal results; a null key stays. Start values come from
-    ``SEED_DOCUMENTS`` training documents. Without training rows every word is
-    unknown. Ties between words of one count go by the word. An empty table gives an empty
+    training and have equal results; a null key stays. A share without documents changes
+    nothing. Without training rows every word is unknown. Ties between words of one count go by the word. An empty table gives an empty
     result. Only ``key`` and the results come back.
     """
     spark = docs.sparkSession
@@ -328,11 +324,14 @@ def lm_scores(docs, held_out, key="doc_id", text="text", states=STATES, passes=P
     sequences = written(sequences_of(base, own, frequent, key_type), "sequences")
 
     train = sequences.filter(~F.col("held_out"))
-    few = train.orderBy(F.xxhash64("key"), "key", "own").select("classes").limit(SEED_DOCUMENTS)
-    few = [np.frombuffer(row.classes, "<u2") for row in few.collect()]
-    model = seeded_model(few, states, SEED_PASSES)
-    for _ in range(passes if n_docs else 0):
-        model = model_of(*expected_counts(train, model, states))
+    totals = shared[:, 0].copy()
+    totals[: len(ranked)], totals[END] = [-n for n, _ in ranked], n_docs
+    model = start_model(totals, states)
+    part = F.pmod(F.xxhash64("key", "own"), F.lit(PARTS))
+    for share in shares if n_docs else ():
+        counts = expected_counts(train.filter(part < round(PARTS * share)), model, states)
+        if counts[0].sum() > 0:
+            model = model_of(*counts)
     model = context.broadcast(model)
     inside = np.log10(shared.sum(axis=1) + 1)  # shares of a class: N + V + 1
     inside[:OWN_WORDS] = inside[END] = 0

@@ -1,5 +1,6 @@
 import itertools
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -56,9 +57,38 @@ def test_awkward_rows(spark):
     check(nothing, pairs, [True] * len(pairs))
 
 
+def test_score_is_the_probability_of_the_words(spark):
+    """Against a plain recursion over words, with the start model and words that share classes."""
+    choose = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(2600)]
+    pairs = [(i, " ".join(choose.choices(vocabulary, k=900))) for i in range(12)]
+    pairs += [(20, "w1 unknown w2"), (21, "")]
+    rows = lm_scores(documents(spark, pairs), F.col("doc_id").isin(3, 20), shares=()).collect()
+    words = {i: t.encode().split() for i, t in pairs}
+    train = Counter(w for i in words if i not in (3, 20) for w in words[i])
+    own = {w: k for k, (_, w) in enumerate(sorted((-n, w) for w, n in train.items())[: lm.OWN_WORDS])}
+    totals, distinct = np.zeros(lm.CLASSES), np.zeros(lm.CLASSES)
+    for w, n in train.items():
+        c = own.get(w, lm.rest_class(w))
+        totals[c] += n
+        distinct[c] += 1
+    totals[lm.END] = 12
+    assert len(train) > lm.OWN_WORDS
+    start, move, emit = lm.start_model(totals, lm.STATES)
+    for row in rows:
+        state, want = None, 0.0
+        for w in [*words[row.doc_id], None]:
+            c = lm.END if w is None else own.get(w, lm.rest_class(w))
+            share = 1 if c == lm.END or w in own else (train[w] + 1) / (totals[c] + distinct[c] + 1)
+            state = emit[c] * (start if state is None else state @ move)
+            want += math.log10(state.sum() * share)
+            state = state / state.sum()
+        assert math.isclose(row.score, want, rel_tol=1e-9)
+
+
 def test_forward_is_the_sum_over_paths():
-    random = np.random.default_rng(0)
-    model = model_of(random.random(3), random.random((3, 3)), random.random((3, lm.CLASSES)))
+    draw = np.random.default_rng(0)
+    model = model_of(draw.random(3), draw.random((3, 3)), draw.random((3, lm.CLASSES)))
     sequences = [np.array(s) for s in ([1, 5, 5, 2], [7], [3, 1], [3, 1])]
     found = Pool(sequences).forward(model)
     start, move, emit = model
