@@ -9,6 +9,9 @@ from foliosift.session import scratch_path
 
 # Near duplicates of the corpus: 100 * intersection >= NEAR_PERCENT * union.
 NEAR_PERCENT = 80
+# Words that a Python worker remembers for packing. It lives on beside the work of other
+# stages, so it keeps fewer than where packing is all there is.
+CACHE_WORDS = 250_000
 
 
 def clean_documents(spark, docs, sf_dir):
@@ -35,7 +38,7 @@ def unseen_documents(spark, docs, sf_dir):
 
 def packed_sequences(spark, docs, sf_dir):
     """Pieces of the documents in sequences."""
-    return pack_documents(docs)
+    return pack_documents(docs, cache_words=CACHE_WORDS)
 
 
 STAGES = [

@@ -14,7 +14,8 @@ FOLD = bytes(
     for b in range(256)
 )
 # Words as ``words_of`` finds them, for texts whose A-Z are not yet folded.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# The marks stand one by one, as the JVM looks single characters up and compares ranges.
+WORD = "[^" + "".join(rf"\x{b:02X}" for b in range(128) if not chr(b).isalnum()) + "]+"
 WINDOW = 10
 BLOCK = 2
 # Slots of a shift table, one byte each, and bits that tell which windows there may be. Both

@@ -26,7 +26,7 @@ SURE = 12.0
 THRESHOLD = 0.5
 # Rows that are multiplied at a time.
 ROW_BLOCK = 1000
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 
 
 def word_features(word, buckets=BUCKETS):
@@ -201,7 +201,9 @@ def fit_model(label, key_type):
     def fit(table):
         model = table.column("model")[0].as_py()
         fold = table.column("fold").to_numpy()
-        features = [np.array(x.as_py(), np.int32) for x in table.column("features")]
+        lists = pa.concat_arrays(table.column("features").chunks)
+        flat, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy()).tolist()
+        features = [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
         earlier = np.array(table.column("earlier").to_pylist(), np.float64).reshape(len(fold), -1)
         y = table.column(label).to_numpy()
         order = np.argsort([str(k) for k in table.column("key").to_pylist()], kind="stable")

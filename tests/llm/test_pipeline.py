@@ -35,7 +35,7 @@ def test_stages_keep_columns_and_awkward_rows(spark, small):
     for table in (docs, docs.limit(0)):
         for name, stage in STAGES[:-1]:
             found = stage(spark, table, small)
-            assert found.columns == docs.columns and found.schema == docs.schema, name
+            assert found.dtypes == docs.dtypes, name
             if table is docs:
                 assert {r.doc_id for r in found.collect()} == {1, 2, None, 4, 5}, name
         pieces = STAGES[-1][1](spark, table, small)
