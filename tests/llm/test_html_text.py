@@ -91,3 +91,46 @@ def test_shared_passages_of_articles_stay(spark):
     pages = [(n, f"http://h/{n}", f"<nav>{line}</nav><article>{n}<p>{line}</article>", "r") for n in range(5)]
     table = spark.createDataFrame(pages, "page_id long, url string, html string, row string")
     assert {r.text for r in extract_text(table).collect()} == {f"{n}\n{line}" for n in range(5)}
+
+
+def test_short_runs_side_by_side_are_no_long_run(spark):
+    runs = [" ".join(f"r{i}w{j}" for j in range(8)) for i in range(6)]
+    pages = [(0, "http://h/0", f"<p>Own start {' '.join(runs)} own end</p>")]
+    pages += [(i, f"http://h/{i}", f"<p>Page {i}</p><p>{run}</p>") for i, run in enumerate(runs, 1)]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extract_text(table).collect()}
+    assert got == {0: f"Own start {' '.join(runs)} own end"} | {i: f"Page {i}" for i in range(1, 7)}
+
+
+def test_blocks_that_most_articles_of_a_host_repeat_go(spark):
+    line, quote = "please share this page with all your friends today", "a quote that six of the articles have"
+
+    def article(n, inside):
+        return f"<article><p>Own words of page {n} are many more than those others have too {n}</p>{inside}</article>"
+
+    pages = [(n, "http://h/", article(n, f"<p>{line}</p>" + f"<p>{quote}</p>" * (n < 6))) for n in range(12)]
+    # Less than half of the pages; too few pages; copies that have little of their own.
+    pages += [(100 + n, "http://i/", article(n, f"<p>{line}</p>" if n < 12 else "")) for n in range(25)]
+    pages += [(200 + n, "http://j/", article(n, f"<p>{line}</p>")) for n in range(9)]
+    pages += [(300 + n, "http://k/", f"<main>{n}<p>{line}</p></main>") for n in range(12)]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.text.split("\n")[1:] for r in extract_text(table).collect()}
+    assert got == (
+        {n: [quote] * (n < 6) for n in range(12)} | {100 + n: [line] * (n < 12) for n in range(25)}
+        | {200 + n: [line] for n in range(9)} | {300 + n: [line] for n in range(12)}
+    )
+
+
+def test_neighbours_meet_across_partitions(spark):
+    """Each partition of the order holds about one suffix."""
+    pages = [(n, "http://h/", f"<p>own {n}</p><p>one two three four five six {n // 2}</p>") for n in range(6)]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        assert {r.page_id: r.text for r in extract_text(table).collect()} == {n: f"own {n}" for n in range(6)}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
