@@ -2,18 +2,24 @@
 
 Spark's XML reader loses the order between headings and paragraphs and its ``xpath``
 functions fail the query on a malformed document, so parsing runs in Arrow batches.
-Only the XML column crosses to the Python worker.
+Only the XML column crosses to the Python worker, which holds trees and nodes of a bounded
+slice of a batch at a time, whatever the session allows a batch.
 """
 
+from collections.abc import Iterator
 from xml.etree.ElementTree import ParseError, fromstring
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from foliosift import fixed_values as V
 from foliosift.functions.nodes import DOCUMENT_CODE, HEADING, PARAGRAPH
 from foliosift.schemas import PARSED_XML
 
+# Bytes of XML that are parsed together; a larger document makes a slice of its own.
+SLICE_BYTES = 1 << 20
+
 
 def _xml_parser():
     # All names are local, so that the function travels to the workers by value and
@@ -33,7 +39,17 @@ def _xml_parser():
             ("full_text", pa.string()),
         ]
     )
-    parse, failure = fromstring, ParseError
+    parse, failure, most = fromstring, ParseError, SLICE_BYTES
+
+    def slices(documents):
+        start = size = 0
+        for at, length in enumerate(pc.binary_length(documents).to_pylist()):
+            length = length or 0
+            if at > start and size + length > most:
+                yield documents.slice(start, at - start)
+                start, size = at, 0
+            size += length
+        yield documents.slice(start)
 
     def nodes(root):
         # Named elements anywhere below the root, and whatever stands directly below it.
@@ -52,7 +68,7 @@ def _xml_parser():
                     "".join(element.itertext()) if element.tag == heading else None,
                 )
 
-    def parsed(documents: pa.Array) -> pa.Array:
+    def parsed_slice(documents):
         errors, rows, starts = [], [], [0]
         missing = []
         for document in documents:
@@ -76,8 +92,14 @@ def _xml_parser():
             [pa.array(errors, pa.string()), lists], ["error", "nodes"]
         )
 
+    def parsed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for documents in batches:
+            for part in slices(documents):
+                yield parsed_slice(part)
+
     return parsed
 
 
-# Node list of each document, or the reason why it has none.
-parsed_xml = F.arrow_udf(_xml_parser(), PARSED_XML)
+# Node list of each document, or the reason why it has none. Parsing costs far more than any
+# filter saves, so no copy of it may go below one that looks at its result.
+parsed_xml = F.arrow_udf(_xml_parser(), PARSED_XML).asNondeterministic()

@@ -1,8 +1,10 @@
 import random
 
+import pyarrow as pa
 import pytest
 from foliosift import fixed_values as V
 from foliosift.functions.nodes import document_code
+from foliosift.functions.xml_nodes import SLICE_BYTES, _xml_parser
 from foliosift.operators.documents import document_nodes, node_rows, payload_documents
 from foliosift.operators.sections import BROKEN_ID, indexed, with_spec_sections
 from foliosift.plans.enrichment import piece_texts, quarantined
@@ -285,3 +287,20 @@ def test_extraction_plan_has_one_python_step_and_no_shuffle(spark, tmp_path):
     plan = piece_texts(payload_documents(frame))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
     assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_parsing_holds_a_bounded_slice_of_a_batch():
+    text = document(*(paragraph(f"p-{i}", words(1000)) for i in range(100)))
+    large = document(paragraph("p-1", words(3 << 20)))
+    batch = [text, None, "<broken", large, *[text] * 60, ""]
+    found = list(_xml_parser()(iter([pa.array(batch), pa.array([], pa.string()), pa.array([text])])))
+    assert [r for part in found for r in part.to_pylist()] == [
+        r for one in [*batch, text] for part in _xml_parser()(iter([pa.array([one], pa.string())])) for r in part.to_pylist()
+    ]
+    assert [len(part) for part in found] == [3, 1, 10, 10, 10, 10, 10, 11, 0, 1] and 10 == SLICE_BYTES // len(text)
+
+
+def test_nodes_in_long_form_are_parsed_once(spark):
+    frame = spark.createDataFrame([("a", 0, document(paragraph("p-1", "x")))], "url string, piece int, xml string")
+    plan = node_rows(document_nodes(frame))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
