@@ -1,4 +1,5 @@
 import random
+import re
 
 import pyarrow as pa
 import pytest
@@ -8,6 +9,7 @@ from foliosift.functions.xml_nodes import SLICE_BYTES, _xml_parser
 from foliosift.operators.documents import document_nodes, node_rows, payload_documents
 from foliosift.operators.sections import BROKEN_ID, indexed, with_spec_sections
 from foliosift.plans.enrichment import piece_texts, quarantined
+from pyspark.util import PythonEvalType
 from xml_text import START, document, element, heading, paragraph, words
 
 
@@ -304,3 +306,13 @@ def test_nodes_in_long_form_are_parsed_once(spark):
     frame = spark.createDataFrame([("a", 0, document(paragraph("p-1", "x")))], "url string, piece int, xml string")
     plan = node_rows(document_nodes(frame))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def python_steps(frame):
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"ArrowEvalPython \[parsed.*, (\d+)$", plan, re.M)
+
+
+def test_texts_are_parsed_once_in_slices(spark):
+    frame = spark.createDataFrame([("u", b"")], "url string, content binary")
+    assert python_steps(piece_texts(payload_documents(frame))) == [str(PythonEvalType.SQL_SCALAR_ARROW_ITER_UDF)]
