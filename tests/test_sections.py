@@ -4,6 +4,7 @@ import re
 import pyarrow as pa
 import pytest
 from foliosift import fixed_values as V
+from foliosift.catalogue.queries import xml_document_code
 from foliosift.functions.nodes import document_code
 from foliosift.functions.xml_nodes import SLICE_BYTES, _xml_parser
 from foliosift.operators.documents import document_nodes, node_rows, payload_documents
@@ -316,3 +317,7 @@ def python_steps(frame):
 def test_texts_are_parsed_once_in_slices(spark):
     frame = spark.createDataFrame([("u", b"")], "url string, content binary")
     assert python_steps(piece_texts(payload_documents(frame))) == [str(PythonEvalType.SQL_SCALAR_ARROW_ITER_UDF)]
+
+
+def test_document_codes_are_parsed_once_in_slices(spark, small):
+    assert python_steps(xml_document_code(spark, small)) == [str(PythonEvalType.SQL_SCALAR_ARROW_ITER_UDF)]
