@@ -1,13 +1,13 @@
 """LM scoring: a hidden Markov model over words, trained by Baum-Welch on the corpus."""
 
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from foliosift.llm.common import byte_texts, name_of, row_batches
+from foliosift.llm.common import name_of, row_batches, text_batches
 from foliosift.session import written
 
 STATES = 6
@@ -22,19 +22,30 @@ FREQUENT = 65_536
 SHARES = (1 / 8,) * 6 + (1 / 4, 1.0, 1.0)
 PARTS = 64
 POOL_TOKENS = 3_000_000
-FLUSH_WORDS = 200_000
+# Bytes of texts that a task splits into words at a time, and of words that it adds up.
+TEXT_BYTES, COUNT_BYTES = 1 << 22, 1 << 25
 SMOOTH = 0.1
 
 
-def words_of(data):
-    """Words between ASCII white space, A-Z in lower case."""
-    return data.lower().split()
-
-
 def rest_class(word):
     return OWN_WORDS + zlib.crc32(word[-3:]) % REST_CLASSES
 
 
+def word_arrays(texts):
+    """(place, word) of a column of texts: between ASCII white space, A-Z in lower case."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string())))
+    places, words = pc.list_parent_indices(split), split.flatten().cast(pa.binary())
+    full = pc.greater(pc.binary_length(words), 0)
+    return places.filter(full), words.filter(full)
+
+
+def rest_classes(words):
+    """The classes of words without a class of their own, worked out once for each ending."""
+    ends = pc.binary_slice(words, -3).dictionary_encode()
+    classes = [rest_class(w) for w in ends.dictionary.to_pylist()]
+    return np.array(classes, "<u2")[ends.indices.to_numpy()]
+
+
 class Pool:
     """Class sequences of many documents side by side, longest first.
 
@@ -60,19 +71,19 @@ class Pool:
     def forward(self, model, keep=False):
         """Log likelihood of each document; with ``keep`` the scaled messages as well."""
         start, move, emit = model
-        states = len(start)
-        likelihood = np.zeros(self.count)
-        messages = np.empty((len(self.tokens), states)) if keep else None
+        likelihood, ones = np.zeros(self.count), np.ones(len(start))
+        messages = emit.take(self.tokens, axis=0) if keep else None
         scales = np.empty(len(self.tokens)) if keep else None
         before = None
         for t, n in enumerate(self.live):
             span = slice(self.at[t], self.at[t] + n)
-            now = emit[self.tokens[span]] * (start if before is None else before[:n] @ move)
-            scale = now.sum(axis=1)
+            now = messages[span] if keep else emit[self.tokens[span]]
+            now *= start if before is None else before[:n] @ move
+            scale = now @ ones
             now /= scale[:, None]
             likelihood[:n] += np.log(scale)
             if keep:
-                messages[span], scales[span] = now, scale
+                scales[span] = scale
             before = now
         result = np.empty(self.count)
         result[self.order] = likelihood
@@ -87,13 +98,15 @@ class Pool:
         for t in range(len(self.live) - 1, -1, -1):
             n = self.live[t]
             span = slice(self.at[t], self.at[t] + n)
-            back = np.ones((n, move.shape[0]))
+            now = emit[self.tokens[span]]
+            now /= scales[span][:, None]
             if n_after:
-                moves += messages[self.at[t] : self.at[t] + n_after].T @ after
-                back[:n_after] = after @ move.T
-            after = emit[self.tokens[span]] * back / scales[span][:, None]
-            n_after = n
-            messages[span] *= back  # now the state probabilities
+                going = messages[self.at[t] : self.at[t] + n_after]
+                moves += going.T @ after
+                back = after @ move.T
+                now[:n_after] *= back
+                going *= back  # now the state probabilities, as where a document ends
+            after, n_after = now, n
         starts = messages[: self.live[0]].sum(axis=0) if len(self.live) else np.zeros(len(move))
         emissions = np.stack(
             [np.bincount(self.tokens, messages[:, k], CLASSES) for k in range(len(move))]
@@ -118,77 +131,68 @@ def start_model(totals, states):
 
 
 def word_counts(docs):
-    """(word, class, n_train, n_all) of all documents; each task adds up before it sends."""
-
-    def rows_of(train, every):
-        words = list(every)
+    """(word, n_train, n_all, class) of all documents; each task adds up before it sends."""
+
+    def rows_of(train, held):
+        counts = [pa.chunked_array(part, pa.binary()).value_counts() for part in (train, held)]
+        n_all = np.concatenate([c.field("counts").to_numpy() for c in counts])
+        n_train = n_all.copy()
+        n_train[len(counts[0]) :] = 0
+        words = pa.concat_arrays([c.field("values") for c in counts])
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array(words, pa.binary()),
-                pa.array([rest_class(w) for w in words], pa.int32()),
-                pa.array([train[w] for w in words], pa.int64()),
-                pa.array(list(every.values()), pa.int64()),
-            ],
-            ["word", "class", "n_train", "n_all"],
+            [words, pa.array(n_train), pa.array(n_all)], ["word", "n_train", "n_all"]
         )
 
     def count(batches):
-        train, every = Counter(), Counter()
-        for batch in row_batches(batches):
-            held = batch.column("held_out").to_pylist()
-            for data, out in zip(byte_texts(batch), held, strict=True):
-                words = words_of(data)
-                every.update(words)
-                if not out:
-                    train.update(words)
-            if len(every) > FLUSH_WORDS:
-                yield rows_of(train, every)
-                train, every = Counter(), Counter()
-        yield rows_of(train, every)
-
-    rows = docs.mapInArrow(count, "word binary, class int, n_train long, n_all long")
+        train, held, size = [], [], 0
+        for batch in text_batches(batches, TEXT_BYTES):
+            out = batch.column("held_out")
+            for part, rows in ((train, pc.invert(out)), (held, out)):
+                part.append(word_arrays(batch.column("text").filter(rows))[1])
+                size += part[-1].nbytes
+            if size >= COUNT_BYTES:
+                yield rows_of(train, held)
+                train, held, size = [], [], 0
+        yield rows_of(train, held)
+
+    rows = docs.mapInArrow(count, "word binary, n_train long, n_all long")
     sums = [F.sum(c).alias(c) for c in ("n_train", "n_all")]
-    return rows.groupBy("word", "class").agg(*sums)
+    rest = OWN_WORDS + F.crc32(F.substring("word", -3, 3)) % REST_CLASSES  # as rest_class
+    return rows.groupBy("word").agg(*sums).withColumn("class", rest.cast("int"))
 
 
-def sequences_of(docs, own, frequent, key_type):
+def sequences_of(docs, frequent, key_type):
     """Class sequence and sums over frequent words of each document.
 
-    ``own`` gives words their own class, ``frequent`` their training count; both bounded.
+    ``frequent`` has these words, their training counts and how many of them, the first
+    ones, are classes of their own; it is bounded.
     """
 
     def read(batches):
-        known = frequent.value
-        log_of = {w: np.log10(c + 1) for w, c in known.items()}
-        classes = dict(own.value)
-        for batch in row_batches(batches):
-            rows = []
-            for data in byte_texts(batch):
-                words = words_of(data)
-                ids = []
-                for w in words:
-                    c = classes.get(w)
-                    if c is None:
-                        c = rest_class(w)
-                        if len(classes) < 400_000:
-                            classes[w] = c
-                    ids.append(c)
-                ids.append(END)
-                logs, seen, own_logs = 0.0, 0, 0.0
-                for w in words:
-                    g = log_of.get(w)
-                    if g is not None:
-                        logs += g
-                        seen += known[w] > 0
-                        if w in own.value:
-                            own_logs += g
-                rows.append((np.array(ids, "<u2").tobytes(), len(ids), logs, seen, own_logs))
-            columns = list(zip(*rows, strict=True))
-            kinds = [pa.binary(), pa.int64(), pa.float64(), pa.int64(), pa.float64()]
+        words, counts, n_own = frequent.value
+        logs = np.log10(counts + 1.0)
+        class_of = np.arange(len(words), dtype="<u2")
+        class_of[n_own:] = rest_classes(words[n_own:])
+        for batch in text_batches(batches, TEXT_BYTES):
+            n = batch.num_rows
+            doc, found = word_arrays(batch.column("text"))
+            doc, at = doc.to_numpy(), pc.index_in(found, value_set=words)
+            rare = at.is_null()
+            common = ~rare.to_numpy(zero_copy_only=False)
+            classes = np.full(len(doc) + n, END, "<u2")  # each document ends with END
+            places = np.arange(len(doc)) + doc
+            classes[places[~common]] = rest_classes(found.filter(rare))
+            at, doc_at = at.drop_null().to_numpy(), doc[common]
+            classes[places[common]] = class_of[at]
+            n_tokens = np.bincount(doc, minlength=n) + 1
+            ends = np.concatenate([[0], np.cumsum(n_tokens) * classes.itemsize]).astype("<i4")
+            known = np.bincount(doc_at, counts[at] > 0, n).astype(np.int64)
+            own_logs = np.bincount(doc_at, np.where(at < n_own, logs[at], 0.0), n)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c) for c in ("key", "own", "held_out")),
-                    *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)),
+                    pa.Array.from_buffers(pa.binary(), n, [None, *map(pa.py_buffer, (ends, classes))]),
+                    *map(pa.array, (n_tokens, np.bincount(doc_at, logs[at], n), known, own_logs)),
                 ],
                 ["key", "own", "held_out", "classes", "n_tokens", "logs", "known", "own_logs"],
             )
@@ -201,30 +205,27 @@ def sequences_of(docs, own, frequent, key_type):
 
 
 def rare_words(docs, frequent, key_type):
-    """(key, own, word, n) for the words of each document that are not frequent.
-
-    A row without word counts the copies of a document.
-    """
+    """(key, own, word, n) for the words of each document that are not frequent."""
 
     def read(batches):
-        known = frequent.value
-        for batch in row_batches(batches, 64):
-            places, words, times = [], [], []
-            for i, data in enumerate(byte_texts(batch)):
-                counts = Counter(w for w in words_of(data) if w not in known)
-                places += [i] * (len(counts) + 1)
-                words += [*counts, None]
-                times += [*counts.values(), 1]
-            at = pa.array(places, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("key").take(at),
-                    batch.column("own").take(at),
-                    pa.array(words, pa.binary()),
-                    pa.array(times, pa.int64()),
-                ],
-                ["key", "own", "word", "n"],
-            )
+        words = frequent.value[0]
+        for batch in text_batches(batches, TEXT_BYTES):
+            doc, found = word_arrays(batch.column("text"))
+            rare = pc.invert(pc.is_in(found, value_set=words))
+            pairs = pa.table([doc.filter(rare), found.filter(rare)], ["doc", "word"])
+            pairs = pairs.group_by(["doc", "word"], use_threads=False)
+            pairs = pairs.aggregate([([], "count_all")]).combine_chunks()
+            for part in pairs.to_batches():
+                at = part.column("doc")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("key").take(at),
+                        batch.column("own").take(at),
+                        part.column("word"),
+                        part.column("count_all"),
+                    ],
+                    ["key", "own", "word", "n"],
+                )
 
     return docs.mapInArrow(read, f"key {key_type}, own long, word binary, n long")
 
@@ -234,7 +235,7 @@ def pools(batches, columns):
     held, size = [], 0
     for batch in row_batches(batches):
         held.append(batch.select(columns))
-        size += sum(len(c) // 2 for c in batch.column("classes").to_pylist())
+        size += pc.sum(pc.binary_length(batch.column("classes"))).as_py() // 2
         if size >= POOL_TOKENS:
             yield pa.Table.from_batches(held).combine_chunks()
             held, size = [], 0
@@ -308,24 +309,25 @@ def lm_scores(docs, held_out, key="doc_id", text="text", states=STATES, shares=S
     ).first()
     n_train, n_distinct, n_all = sums[0] + n_docs, sums[1] + (n_docs > 0), sums[2]
     often = words.filter(F.col("n_all") * FREQUENT >= n_all).select("word", "n_train").collect()
-    ranked = sorted(((-n, bytes(w)) for w, n in often if n > 0))[:OWN_WORDS]
-    own_class = {w: i for i, (_, w) in enumerate(ranked)}
+    ranked = sorted(((-n, bytes(w)) for w, n in often))
+    n_own = len([n for n, _ in ranked[:OWN_WORDS] if n < 0])
+    frequent = pa.array([w for _, w in ranked], pa.binary())
+    frequent = frequent, np.array([-n for n, _ in ranked], np.int64), n_own
     # Words and training count of each shared class, without the words of their own.
     shared = np.zeros((CLASSES, 2))
     for c, n, v in (
         words.groupBy("class").agg(F.sum("n_train"), F.count_if(F.col("n_train") > 0)).collect()
     ):
         shared[c] = n, v
-    for n, w in ranked:
+    for n, w in ranked[:n_own]:
         shared[rest_class(w)] += n, -1
     context = spark.sparkContext
-    own = context.broadcast(own_class)
-    frequent = context.broadcast({bytes(w): n for w, n in often})
-    sequences = written(sequences_of(base, own, frequent, key_type), "sequences")
+    frequent = context.broadcast(frequent)
+    sequences = written(sequences_of(base, frequent, key_type), "sequences")
 
     train = sequences.filter(~F.col("held_out"))
     totals = shared[:, 0].copy()
-    totals[: len(ranked)], totals[END] = [-n for n, _ in ranked], n_docs
+    totals[:n_own], totals[END] = [-n for n, _ in ranked[:n_own]], n_docs
     model = start_model(totals, states)
     part = F.pmod(F.xxhash64("key", "own"), F.lit(PARTS))
     for share in shares if n_docs else ():
@@ -348,14 +350,15 @@ def lm_scores(docs, held_out, key="doc_id", text="text", states=STATES, shares=S
         score, f"key {key_type}, own long, chain double"
     )
     # Copies of a document have equal rows: one of them is enough to join.
-    scored = scored.groupBy("key", "own").agg(F.first("chain").alias("chain"))
+    scored = scored.groupBy("key", "own").agg(
+        F.first("chain").alias("chain"), F.count("*").alias("copies")
+    )
     rare = rare_words(base, frequent, key_type)
     joined = rare.join(words.select("word", "n_train").hint("shuffle_hash"), "word", "left")
     c = F.coalesce("n_train", F.lit(0))
     rare = joined.groupBy("key", "own").agg(
-        F.sum(F.when(F.col("word").isNull(), 1)).alias("copies"),
-        F.sum(F.when(F.col("word").isNotNull(), F.col("n") * F.log10(c + 1))).alias("rare_logs"),
-        F.sum(F.when(F.col("word").isNotNull() & (c > 0), F.col("n"))).alias("rare_known"),
+        F.sum(F.col("n") * F.log10(c + 1)).alias("rare_logs"),
+        F.sum(F.when(c > 0, F.col("n"))).alias("rare_known"),
     )
     same = lambda a, b: a["key"].eqNullSafe(b["key"]) & a["own"].eqNullSafe(b["own"])
     docs_side = sequences.drop("classes")
